@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfsense.functions.hashing import key_fraction
@@ -38,30 +38,39 @@ def mean_learning_curve(
 ) -> DataFrame:
     """Train and test RMSE of a mean per ``means_of`` key, for nested train fractions.
 
-    The table is read once into counts per (key, fraction step, rating); each fraction is then a
-    selection of steps.
+    One grouping of the table: each key keeps count, sum and sum of squares of its ratings below
+    every fraction, from which the squared error of any mean follows.
     """
-    at = key_fraction(keys)
-    step = sum(((at >= F.lit(f)).cast("int") for f in train_fractions), F.lit(0))
-    counts = ratings.groupBy(*means_of, step.alias("step"), F.col(rating).cast("double").alias("rating")).agg(
-        F.count(F.lit(1)).alias("n")
+    at, value = key_fraction(keys), F.col(rating).cast("double")
+
+    def moments(inside: Column) -> Column:
+        return F.struct(
+            F.count_if(inside).alias("n"),
+            F.sum(F.when(inside, value)).alias("s"),
+            F.sum(F.when(inside, value * value)).alias("q"),
+        )
+
+    sums = {f"_{i}": moments(at < F.lit(f)) for i, f in enumerate(train_fractions)}
+    per_key = ratings.groupBy(*means_of).agg(
+        *[c.alias(name) for name, c in sums.items()], moments(F.lit(True)).alias("_whole")
     )
-    ladder = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(f).alias("train_fraction")) for i, f in enumerate(train_fractions)
-    ])
-    spread = counts.withColumn("f", F.explode(ladder)).select(
-        *means_of, "rating", "n", F.col("f.train_fraction").alias("train_fraction"),
-        (F.col("step") <= F.col("f.i")).alias("train"),
-    )
-    group = [*means_of, "train_fraction"]
-    means = spread.where("train").groupBy(*group).agg(
-        F.round(F.sum(F.col("n") * F.col("rating")) / F.sum("n"), DIGITS).alias("prediction")
-    )
-    squared = F.col("n") * F.pow(F.col("rating") - F.col("prediction"), F.lit(2))
 
-    def error(side):
-        return F.sqrt(F.sum(F.when(side, squared)) / F.sum(F.when(side, F.col("n"))))
+    def errors(name: str, fraction: float) -> Column:
+        n, s, q = (F.col(f"{name}.{field}") for field in "nsq")
+        rest_n, rest_s, rest_q = (F.col(f"_whole.{field}") - F.col(f"{name}.{field}") for field in "nsq")
+        mean = F.round(s / n, DIGITS)
+
+        def squared(count: Column, total: Column, squares: Column) -> Column:
+            return squares - 2 * mean * total + mean * mean * count
+
+        return F.when(n > 0, F.struct(
+            F.lit(fraction).alias("train_fraction"),
+            n.alias("n_train"), squared(n, s, q).alias("train"),
+            rest_n.alias("n_test"), squared(rest_n, rest_s, rest_q).alias("test"),
+        ))
 
-    return spread.join(means, group).groupBy("train_fraction").agg(
-        error(F.col("train")).alias("train_rmse"), error(~F.col("train")).alias("test_rmse")
+    points = F.array_compact(F.array(*[errors(f"_{i}", f) for i, f in enumerate(train_fractions)]))
+    return per_key.select(F.explode(points).alias("p")).groupBy(F.col("p.train_fraction").alias("train_fraction")).agg(
+        F.sqrt(F.sum("p.train") / F.sum("p.n_train")).alias("train_rmse"),
+        F.sqrt(F.sum("p.test") / F.nullif(F.sum("p.n_test"), F.lit(0))).alias("test_rmse"),
     )

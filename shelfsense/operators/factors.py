@@ -32,7 +32,7 @@ class AlsSettings:
     reg: float = 0.1
     nonnegative: bool = True
     seed: int = 5
-    blocks: int = 10
+    blocks: int | None = None  # the session's parallelism, at least 10
 
 
 def fit(triples: DataFrame, settings: AlsSettings = AlsSettings()) -> ALSModel:
@@ -40,15 +40,17 @@ def fit(triples: DataFrame, settings: AlsSettings = AlsSettings()) -> ALSModel:
 
     The factor tables are checkpointed to the shared folder every few iterations.
     """
-    shared_folder(triples.sparkSession)
+    spark = triples.sparkSession
+    shared_folder(spark)
+    blocks = settings.blocks or max(10, spark.sparkContext.defaultParallelism)
     als = ALS(
         rank=settings.rank,
         maxIter=settings.max_iter,
         regParam=settings.reg,
         nonnegative=settings.nonnegative,
         seed=settings.seed,
-        numUserBlocks=settings.blocks,
-        numItemBlocks=settings.blocks,
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
         checkpointInterval=5,
         userCol="user_id",
         itemCol="item_id",

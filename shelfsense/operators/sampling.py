@@ -11,7 +11,7 @@ from shelfsense.functions.hashing import HASH_BITS, key_fraction, key_hash
 from shelfsense.operators.positions import global_position
 from shelfsense.sources.session import small_side
 
-_CELL_BITS = 16  # the hash range is counted in 65,536 cells
+_CELL_BITS = 18  # the hash range is counted in 262,144 cells
 
 
 def mark_first(
@@ -25,7 +25,8 @@ def mark_first(
     """Flag exactly the first ``take(rows)`` rows in hash order, per value of ``by`` if given.
 
     ``keys`` must identify a row. No group is sorted: the hash cells are counted, the one cell where
-    the cut falls is ranked, and the rows are then compared with the cut row in one pass.
+    the cut falls is ranked, and the rows are then compared with the cut row in one pass. That
+    reads ``df`` three times, so pass a stored table or cut a long lineage first.
     """
     strata = [by] if by else []
     hashed = df.withColumn("_hash", key_hash(keys, seed)).withColumn(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfsense.operators.baseline import item_count_mean
 from shelfsense.operators.candidates import best_candidates
-from shelfsense.operators.factors import AlsSettings, fit
+from shelfsense.operators.factors import AlsSettings, fit, save
 from shelfsense.operators.joins import to_user_ids, to_user_tags, user_bridge, with_products
 from shelfsense.operators.ranking import curate
 from shelfsense.sources.session import cut_lineage
@@ -34,19 +35,45 @@ def curated_lists(
     ``strategy`` and ``rank``.
     """
     grouped = products.select("item_id", F.col("varietal").alias("category"), "klass")
-    best = best_candidates(user_factors, with_products(item_factors, grouped), triples, threshold)
+    best = best_candidates(user_factors, with_products(item_factors, grouped), triples, threshold, classes)
     lists = curate(best, classes, user="user_id").select("user_id", "item_id", "prediction", "strategy", "rank")
     return with_products(to_user_tags(lists, bridge), products)
 
 
+@dataclass(frozen=True)
+class Trained:
+    """A fitted model with what is needed to use it: the integer triples and the tag bridge."""
+
+    model: ALSModel
+    triples: DataFrame
+    bridge: DataFrame
+
+
+def integer_triples(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(user_id, item_id, rating)`` on the shared folder, and the bridge back to the tags.
+
+    The ids serve the model only, so they are dense: 32 bits then hold two billion users.
+    """
+    bridge = user_bridge(ratings, step=1)
+    return cut_lineage(to_user_ids(ratings, bridge).select("user_id", "item_id", "rating")), bridge
+
+
+def train(ratings: DataFrame, settings: AlsSettings = AlsSettings(), save_to: str | None = None) -> Trained:
+    """``(user_tag, item_id, rating)`` to a fitted model, saved if a path is given."""
+    triples, bridge = integer_triples(ratings)
+    model = fit(triples, settings)
+    if save_to is not None:
+        save(model, save_to)
+    return Trained(model, triples, bridge)
+
+
 def recommend_with(
-    model: ALSModel, triples: DataFrame, bridge: DataFrame, products: DataFrame, classes: Sequence[str],
-    threshold: float = RATING_THRESHOLD,
+    trained: Trained, products: DataFrame, classes: Sequence[str], threshold: float = RATING_THRESHOLD
 ) -> DataFrame:
     """Curated lists from a fitted or loaded model."""
-    users = model.userFactors.select(F.col("id").cast("long").alias("user_id"), "features")
-    items = model.itemFactors.select(F.col("id").cast("long").alias("item_id"), "features")
-    return curated_lists(users, items, triples, bridge, products, classes, threshold)
+    users = trained.model.userFactors.select(F.col("id").cast("long").alias("user_id"), "features")
+    items = trained.model.itemFactors.select(F.col("id").cast("long").alias("item_id"), "features")
+    return curated_lists(users, items, trained.triples, trained.bridge, products, classes, threshold)
 
 
 def recommend(
@@ -56,18 +83,15 @@ def recommend(
     settings: AlsSettings = AlsSettings(),
     threshold: float = RATING_THRESHOLD,
 ) -> DataFrame:
-    """``(user_tag, item_id, rating)`` to curated lists: ids, fit, score, curate, enrich."""
-    bridge = user_bridge(ratings)
-    triples = cut_lineage(to_user_ids(ratings, bridge).select("user_id", "item_id", "rating"))
-    return recommend_with(fit(triples, settings), triples, bridge, products, classes, threshold)
+    """Ratings and products to curated lists: ids, fit, score, curate, enrich."""
+    return recommend_with(train(ratings, settings), products, classes, threshold)
 
 
 def recommend_by_item_mean(
     ratings: DataFrame, products: DataFrame, classes: Sequence[str], threshold: float = RATING_THRESHOLD
 ) -> DataFrame:
     """The same job with the item-mean baseline as a model of one factor per side."""
-    bridge = user_bridge(ratings)
-    triples = cut_lineage(to_user_ids(ratings, bridge).select("user_id", "item_id", "rating"))
+    triples, bridge = integer_triples(ratings)
     users = bridge.select("user_id", F.array(F.lit(1.0)).alias("features"))
     items = item_count_mean(triples).select("item_id", F.array("mean_rating").alias("features"))
     return curated_lists(users, items, triples, bridge, products, classes, threshold)

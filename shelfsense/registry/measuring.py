@@ -9,6 +9,7 @@ from shelfsense.operators.filters import at_least
 from shelfsense.plans.validate import roc_study, user_report
 from shelfsense.registry.core import KEYS, query, rounded, test_pairs, train_and_test, with_views
 from shelfsense.sources import logical
+from shelfsense.sources.session import cut_lineage
 
 _TRIPLES = ("purchases", "triples", "hashed")
 _PAIRS = (*_TRIPLES, "train", "test", "item_means", "pairs")
@@ -41,19 +42,19 @@ def hash_split(spark, folder):
 @query(with_views(*_TRIPLES) + """SELECT user_tag, item_id, rating,
     row_number() OVER (ORDER BY h, user_tag, item_id) <= ceil(0.2 * count(*) OVER ()) AS is_test FROM hashed""")
 def exact_split(spark, folder):
-    return sampling.split_exact(logical.rating_triples(spark, folder), KEYS, 0.2)
+    return sampling.split_exact(cut_lineage(logical.rating_triples(spark, folder)), KEYS, 0.2)
 
 
 @query(with_views(*_TRIPLES) + """SELECT user_tag, item_id, rating,
     row_number() OVER (PARTITION BY rating ORDER BY h, user_tag, item_id)
         <= floor(0.2 * count(*) OVER (PARTITION BY rating) + 0.5) AS is_test FROM hashed""")
 def stratified_split(spark, folder):
-    return sampling.split_stratified(logical.rating_triples(spark, folder), KEYS, "rating", 0.2)
+    return sampling.split_stratified(cut_lineage(logical.rating_triples(spark, folder)), KEYS, "rating", 0.2)
 
 
 @query(with_views(*_TRIPLES) + "SELECT user_tag, item_id, rating FROM hashed ORDER BY h, user_tag, item_id LIMIT 20000")
 def sample_n(spark, folder):
-    return sampling.sample_rows(logical.rating_triples(spark, folder), KEYS, 20_000)
+    return sampling.sample_rows(cut_lineage(logical.rating_triples(spark, folder)), KEYS, 20_000)
 
 
 @query(with_views(*_TRIPLES) + """SELECT user_tag, item_id, rating,

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from shelfsense.operators import candidates, factors, joins, ranking
 from shelfsense.operators.factors import AlsSettings
 from shelfsense.operators.joins import with_products
-from shelfsense.plans.recommend import recommend, recommend_by_item_mean, recommend_with
+from shelfsense.plans.recommend import recommend, recommend_by_item_mean
 from shelfsense.plans.validate import als_roc_study
-from shelfsense.registry.core import ALL_CLASSES, CLASSES, query, rounded, scored_purchases, with_views
+from shelfsense.registry.core import CLASSES, query, scored_purchases, with_views
 from shelfsense.registry.measuring import _BRIDGE as BRIDGE
 from shelfsense.sources import logical
 from shelfsense.sources.session import cut_lineage, fresh_path
@@ -113,13 +113,13 @@ _UNBOUGHT = """SELECT user_tag, item_id, prediction, varietal AS category, klass
 FROM (SELECT *, {_RANK} FROM lists) JOIN products USING (item_id)""")
 def curated_recommendations(spark, folder):
     """All unpurchased items of all users, scored by item mean, kept at 6.5 or more and curated."""
-    ratings = logical.rating_triples(spark, folder)
+    ratings = cut_lineage(logical.rating_triples(spark, folder))
     return recommend_by_item_mean(ratings, logical.products(spark, folder), CLASSES, threshold=6.5)
 
 
 def _triples(spark, folder):
     """Integer rating triples on the shared folder, as every fit reads them again."""
-    ratings = logical.rating_triples(spark, folder)
+    ratings = cut_lineage(logical.rating_triples(spark, folder))
     return cut_lineage(joins.to_user_ids(ratings, joins.user_bridge(ratings)).select("user_id", "item_id", "rating"))
 
 
@@ -193,7 +193,8 @@ def als_rank_search(spark, folder):
 
 @query()
 def als_recommend(spark, folder):
-    return recommend(logical.rating_triples(spark, folder), logical.products(spark, folder), CLASSES, _SMALL_ALS)
+    ratings = cut_lineage(logical.rating_triples(spark, folder))
+    return recommend(ratings, logical.products(spark, folder), CLASSES, _SMALL_ALS)
 
 
 @query()
