@@ -12,7 +12,8 @@ def bin_edges(df: DataFrame, value: str, n_bins: int = 10, skip_closing: bool =
     """Smallest and largest value of each equal-count bin: ``(bin, lo, hi)``, bins from 1.
 
     A bin is ``floor(rows / n_bins) + 1`` ranks wide. With ``skip_closing`` the first rank of every
-    bin after the first takes no part in the edges (it is the row that closes the bin before).
+    bin after the first takes no part in the edges (it is the row that closes the bin before); with
+    fewer rows than bins only the first bin is left.
     """
 
     def ends(n: Column) -> Column:
@@ -28,7 +29,7 @@ def bin_edges(df: DataFrame, value: str, n_bins: int = 10, skip_closing: bool =
             )
 
         bins = F.transform(F.sequence(F.lit(1), F.lit(n_bins)), of_bin)
-        existing = F.filter(bins, lambda pair: pair[0]["rank"] <= n - 1)
+        existing = F.filter(bins, lambda pair: pair[0]["rank"] <= pair[1]["rank"])
         return F.flatten(existing)
 
     found = values_at_ranks(df, value, ends)
