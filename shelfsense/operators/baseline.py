@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfsense.functions.hashing import key_fraction
+from shelfsense.operators.spread import spread_join
 
 DIGITS = 6
 
@@ -22,13 +23,14 @@ def item_count_mean(ratings: DataFrame, item: str = "item_id", rating: str = "ra
 def predict_item_mean(train: DataFrame, pairs: DataFrame, item: str = "item_id") -> DataFrame:
     """Pairs with the mean training rating of their item; items not seen in training are left out."""
     means = item_count_mean(train, item).select(item, F.col("mean_rating").alias("prediction"))
-    return pairs.join(means, item)
+    return spread_join(pairs, means, [item])
 
 
 def item_mean_rmse(train: DataFrame, test: DataFrame, item: str = "item_id", rating: str = "rating") -> DataFrame:
     """Error of the item means on test rows, which meet the means as counts per (item, rating)."""
     counts = test.groupBy(item, rating).agg(F.count(F.lit(1)).alias("n"))
-    scored = predict_item_mean(train, counts, item)
+    means = item_count_mean(train, item).select(item, F.col("mean_rating").alias("prediction"))
+    scored = counts.join(means, item)
     error = F.sum(F.col("n") * F.pow(F.col(rating) - F.col("prediction"), F.lit(2)))
     return scored.agg(F.sum("n").alias("n_pairs"), F.sqrt(error / F.sum("n")).alias("rmse"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsense.functions.labels import safe_ratio
+from shelfsense.operators.spread import spread_join
 
 
 def keep_classes(products: DataFrame, classes: Sequence[str], klass: str = "klass") -> DataFrame:
@@ -66,13 +67,13 @@ def repeat_buyers(
 
 
 def rows_of(rows: DataFrame, members: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose keys appear in ``members``."""
-    return rows.join(members, list(keys), "left_semi")
+    """Rows whose keys appear in ``members``, which holds a key once."""
+    return spread_join(rows, members.select(*keys), keys, "left_semi")
 
 
 def rows_without(rows: DataFrame, members: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose keys do not appear in ``members``."""
-    return rows.join(members, list(keys), "left_anti")
+    """Rows whose keys do not appear in ``members``, which holds a key once."""
+    return spread_join(rows, members.select(*keys), keys, "left_anti")
 
 
 def retention(before: DataFrame, after: DataFrame, user: str = "user_tag") -> DataFrame:

@@ -1,7 +1,8 @@
 """Joins of purchases, ratings and recommendations with their lookup tables.
 
-No join here names a strategy: the size of a lookup table is Spark's to check, at planning and
-again at run time, and a hot key is split by the skew-join settings of ``sources.session``.
+The size of a lookup table is Spark's to check, at planning and again at run time. A hot key is
+split by the skew-join settings of ``sources.session`` where both sides are shuffled for the join,
+and by ``spread_join`` where one side was aggregated on the key.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsense.operators.positions import global_position
+from shelfsense.operators.spread import spread_join
 
 ID_STEP = 100  # fixed value: user ids are 0, 100, 200, ...
 
@@ -43,12 +45,12 @@ def with_class(purchases: DataFrame, products: DataFrame, item: str = "item_id",
 
 def with_group_size(rows: DataFrame, key: str, into: str = "n_rows") -> DataFrame:
     """Every row with the number of rows of its key. Counts are formed before the join, not in a window."""
-    return rows.join(rows.groupBy(key).agg(F.count(F.lit(1)).alias(into)), key)
+    return spread_join(rows, rows.groupBy(key).agg(F.count(F.lit(1)).alias(into)), [key])
 
 
 def common_users(test: DataFrame, predicted: DataFrame, user: str = "user_id") -> DataFrame:
     """Test rows of users that have a prediction."""
-    return test.join(predicted, user, "left_semi")
+    return spread_join(test, predicted.select(user).distinct(), [user], "left_semi")
 
 
 def common_pairs(test: DataFrame, predicted: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:

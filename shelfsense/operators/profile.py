@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfsense.functions.labels import safe_ratio
 from shelfsense.operators.positions import quantiles
+from shelfsense.operators.spread import spread_join
 
 
 def value_frequency(df: DataFrame, columns: Sequence[str], dropna: bool = False) -> DataFrame:
@@ -75,5 +76,5 @@ def impute_by_similar(df: DataFrame, column: str, similar_on: Sequence[str]) ->
     usual = counts.withColumn("_r", F.row_number().over(first)).where("_r = 1").select(
         *similar_on, F.col(column).alias("_usual")
     )
-    filled = df.join(usual, list(similar_on), "left").withColumn(column, F.coalesce(column, "_usual"))
+    filled = spread_join(df, usual, similar_on, "left").withColumn(column, F.coalesce(column, "_usual"))
     return filled.drop("_usual")

@@ -5,7 +5,6 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
-from shelfsense.operators.joins import with_group_size
 from shelfsense.sources import logical
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -60,26 +59,3 @@ def test_date_range_reaches_the_scan(spark, folder):
     units = logical.table(spark, folder, "lineitem").where("l_quantity < 10").select("l_partkey")
     physical = units._jdf.queryExecution().executedPlan().toString()
     assert "LessThan(l_quantity,10" in physical and "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in physical
-
-
-def test_hot_key_is_split_at_run_time(spark):
-    """One key holds half of the rows; the join of rows to their counts must be split, and whole."""
-    names = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    }
-    before = {n: spark.conf.get(n, None) for n in names}
-    try:
-        for n, v in names.items():
-            spark.conf.set(n, v)
-        rows = spark.range(0, 400_000, 1, 8).selectExpr("if(id % 2 = 0, -1, id) AS k", "id", "uuid() AS filler")
-        counted = with_group_size(rows, "k").groupBy("k").agg({"n_rows": "max", "id": "count"})
-        got = {r[0]: r for r in counted.collect() if r[0] == -1}
-        assert got[-1]["max(n_rows)"] == got[-1]["count(id)"] == 200_000
-        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for n, v in before.items():
-            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
