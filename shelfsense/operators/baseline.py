@@ -43,7 +43,7 @@ def mean_learning_curve(
     One grouping of the table: each key keeps count, sum and sum of squares of its ratings below
     every fraction, from which the squared error of any mean follows.
     """
-    at, value = key_fraction(keys), F.col(rating).cast("double")
+    at, value = F.col("_at"), F.col(rating).cast("double")
 
     def moments(inside: Column) -> Column:
         return F.struct(
@@ -53,7 +53,8 @@ def mean_learning_curve(
         )
 
     sums = {f"_{i}": moments(at < F.lit(f)) for i, f in enumerate(train_fractions)}
-    per_key = ratings.groupBy(*means_of).agg(
+    # a column of its own, so that the hash is taken once per row and not once per fraction
+    per_key = ratings.withColumn("_at", key_fraction(keys)).groupBy(*means_of).agg(
         *[c.alias(name) for name, c in sums.items()], moments(F.lit(True)).alias("_whole")
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfsense.functions.labels import safe_ratio
@@ -76,25 +76,22 @@ def rows_without(rows: DataFrame, members: DataFrame, keys: Sequence[str]) -> Da
     return spread_join(rows, members.select(*keys), keys, "left_anti")
 
 
-def retention(before: DataFrame, after: DataFrame, user: str = "user_tag") -> DataFrame:
-    """Users and purchases before and after a filter, and the percentage kept."""
+def retention(purchases: DataFrame, keep: Column, user: str = "user_tag", date: str = "date") -> DataFrame:
+    """Users and purchases before and after a filter on users, and the percentage kept.
 
-    def sizes(rows: DataFrame, stage: str) -> DataFrame:
-        # users are counted first, so no distinct set is held for the whole table
-        per_user = rows.groupBy(user).agg(F.count(F.lit(1)).alias("n"))
-        return per_user.agg(
-            F.count(F.lit(1)).alias("n_users"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_purchases")
-        ).withColumn("stage", F.lit(stage))
-
-    both = sizes(before, "before").unionByName(sizes(after, "after"))
-    stages = both.groupBy().pivot("stage", ["before", "after"]).agg(
-        F.first("n_users").alias("users"), F.first("n_purchases").alias("purchases")
+    ``keep`` is a condition over a user's ``n_purchases``, ``first_date`` and ``last_date``; both
+    sides of the report come from one grouping by user.
+    """
+    per_user = purchases.groupBy(user).agg(
+        F.count(F.lit(1)).alias("n_purchases"), F.min(date).alias("first_date"), F.max(date).alias("last_date")
     )
-    return stages.select(
-        F.col("before_users").alias("users_before"),
-        F.col("after_users").alias("users_after"),
-        F.col("before_purchases").alias("purchases_before"),
-        F.col("after_purchases").alias("purchases_after"),
-        (safe_ratio(F.col("after_users"), F.col("before_users")) * 100).alias("users_percent"),
-        (safe_ratio(F.col("after_purchases"), F.col("before_purchases")) * 100).alias("purchases_percent"),
+    sizes = per_user.agg(
+        F.count(F.lit(1)).alias("users_before"),
+        F.count_if(keep).alias("users_after"),
+        F.coalesce(F.sum("n_purchases"), F.lit(0)).alias("purchases_before"),
+        F.coalesce(F.sum(F.when(keep, F.col("n_purchases"))), F.lit(0)).alias("purchases_after"),
     )
+    return sizes.withColumns({
+        "users_percent": safe_ratio(F.col("users_after"), F.col("users_before")) * 100,
+        "purchases_percent": safe_ratio(F.col("purchases_after"), F.col("purchases_before")) * 100,
+    })

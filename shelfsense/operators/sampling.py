@@ -93,10 +93,10 @@ def shuffled(df: DataFrame, keys: Sequence[str], into: str = "position", seed: i
 
 def nested_fractions(df: DataFrame, keys: Sequence[str], fractions: Sequence[float]) -> DataFrame:
     """Train and test sizes of nested hold-out splits, counted in one pass."""
-    at = key_fraction(keys)
-    inside = [F.count_if(at < F.lit(f)) for f in fractions]
+    inside = [F.count_if(F.col("_at") < F.lit(f)) for f in fractions]
     sizes = F.array(*[
         F.struct(F.lit(f).alias("train_fraction"), n.alias("n_train"), (F.count(F.lit(1)) - n).alias("n_test"))
         for f, n in zip(fractions, inside)
     ])
-    return df.agg(sizes.alias("sizes")).select(F.explode("sizes").alias("s")).select("s.*")
+    hashed = df.select(key_fraction(keys).alias("_at"))
+    return hashed.agg(sizes.alias("sizes")).select(F.explode("sizes").alias("s")).select("s.*")

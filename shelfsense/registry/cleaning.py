@@ -101,10 +101,9 @@ def non_member_rows(spark, folder):
 FROM (SELECT count(DISTINCT user_tag) AS users_before, count(*) AS purchases_before FROM listed_purchases),
     (SELECT count(DISTINCT user_tag) AS users_after, count(*) AS purchases_after FROM kept)""")
 def retention_report(spark, folder):
-    rows = listed_purchases(spark, folder)
-    active = filters.rows_of(rows, filters.active_users(rows), ["user_tag"])
-    kept = filters.rows_of(active, filters.repeat_buyers(rows), ["user_tag"])
-    return rounded(filters.retention(rows, kept), "users_percent", "purchases_percent")
+    keep = (F.col("n_purchases") >= 5) & (F.col("first_date") < F.col("last_date"))
+    report = filters.retention(listed_purchases(spark, folder), keep)
+    return rounded(report, "users_percent", "purchases_percent")
 
 
 @query(with_views("purchases", "products", "listed_purchases") + """SELECT user_tag,

@@ -11,6 +11,7 @@ from shelfsense.operators.baseline import predict_item_mean
 from shelfsense.operators.joins import with_products
 from shelfsense.operators.sampling import split_by_weights
 from shelfsense.sources import logical
+from shelfsense.sources.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -79,23 +80,32 @@ def listed_purchases(spark: SparkSession, folder: str) -> DataFrame:
     return logical.purchases(spark, folder).join(products.select("item_id", "klass"), "item_id")
 
 
-def train_and_test(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    parts = split_by_weights(logical.rating_triples(spark, folder), KEYS, [8, 2])
+def stored_triples(spark: SparkSession, folder: str) -> DataFrame:
+    """Rating triples as a stored table, which is how they come to jobs that read them several times."""
+    return cut_lineage(logical.rating_triples(spark, folder))
+
+
+def train_and_test(triples: DataFrame) -> tuple[DataFrame, DataFrame]:
+    parts = split_by_weights(triples, KEYS, [8, 2])
     return parts.where("part = 0").drop("part"), parts.where("part = 1").drop("part")
 
 
 def test_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Held-out ratings with the item mean of the other part: ``user_tag, item_id, rating, prediction``."""
-    train, test = train_and_test(spark, folder)
+    return predict_test(stored_triples(spark, folder))
+
+
+def predict_test(triples: DataFrame) -> DataFrame:
+    train, test = train_and_test(triples)
     return predict_item_mean(train, test).select("user_tag", "item_id", "rating", "prediction")
 
 
 def scored_purchases(spark: SparkSession, folder: str) -> DataFrame:
     """All rated pairs scored by item mean, at 5 or more, with category and class."""
-    train, _ = train_and_test(spark, folder)
-    triples = logical.rating_triples(spark, folder).select(*KEYS)
+    triples = stored_triples(spark, folder)
+    train, _ = train_and_test(triples)
     products = logical.products(spark, folder).select("item_id", F.col("varietal").alias("category"), "klass")
-    scored = with_products(predict_item_mean(train, triples), products)
+    scored = with_products(predict_item_mean(train, triples.select(*KEYS)), products)
     return scored.where("prediction >= 5.0").select("user_tag", "item_id", "prediction", "category", "klass")
 
 

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from shelfsense.operators import accuracy, baseline, factors, joins, sampling
 from shelfsense.operators.filters import at_least
 from shelfsense.plans.validate import roc_study, user_report
-from shelfsense.registry.core import KEYS, query, rounded, test_pairs, train_and_test, with_views
+from shelfsense.registry.core import (
+    KEYS, predict_test, query, rounded, stored_triples, test_pairs, train_and_test, with_views,
+)
 from shelfsense.sources import logical
-from shelfsense.sources.session import cut_lineage
 
 _TRIPLES = ("purchases", "triples", "hashed")
 _PAIRS = (*_TRIPLES, "train", "test", "item_means", "pairs")
@@ -29,7 +30,7 @@ _BRIDGE = """SELECT user_tag, (row_number() OVER (ORDER BY user_tag) - 1) * 100
 @query(with_views("purchases", "triples", bridge=_BRIDGE)
        + "SELECT user_id, item_id, rating FROM triples JOIN bridge USING (user_tag)")
 def rating_triples(spark, folder):
-    ratings = logical.rating_triples(spark, folder)
+    ratings = stored_triples(spark, folder)
     return joins.to_user_ids(ratings, joins.user_bridge(ratings))
 
 
@@ -42,19 +43,19 @@ def hash_split(spark, folder):
 @query(with_views(*_TRIPLES) + """SELECT user_tag, item_id, rating,
     row_number() OVER (ORDER BY h, user_tag, item_id) <= ceil(0.2 * count(*) OVER ()) AS is_test FROM hashed""")
 def exact_split(spark, folder):
-    return sampling.split_exact(cut_lineage(logical.rating_triples(spark, folder)), KEYS, 0.2)
+    return sampling.split_exact(stored_triples(spark, folder), KEYS, 0.2)
 
 
 @query(with_views(*_TRIPLES) + """SELECT user_tag, item_id, rating,
     row_number() OVER (PARTITION BY rating ORDER BY h, user_tag, item_id)
         <= floor(0.2 * count(*) OVER (PARTITION BY rating) + 0.5) AS is_test FROM hashed""")
 def stratified_split(spark, folder):
-    return sampling.split_stratified(cut_lineage(logical.rating_triples(spark, folder)), KEYS, "rating", 0.2)
+    return sampling.split_stratified(stored_triples(spark, folder), KEYS, "rating", 0.2)
 
 
 @query(with_views(*_TRIPLES) + "SELECT user_tag, item_id, rating FROM hashed ORDER BY h, user_tag, item_id LIMIT 20000")
 def sample_n(spark, folder):
-    return sampling.sample_rows(cut_lineage(logical.rating_triples(spark, folder)), KEYS, 20_000)
+    return sampling.sample_rows(stored_triples(spark, folder), KEYS, 20_000)
 
 
 @query(with_views(*_TRIPLES) + """SELECT user_tag, item_id, rating,
@@ -82,15 +83,16 @@ def rows_with_user_count(spark, folder):
 
 @query(with_views(*_PAIRS) + "SELECT user_tag, item_id, rating, prediction FROM pairs")
 def actual_vs_predicted(spark, folder):
-    _, test = train_and_test(spark, folder)
-    predicted = test_pairs(spark, folder).select("user_tag", "item_id", "prediction")
+    triples = stored_triples(spark, folder)
+    _, test = train_and_test(triples)
+    predicted = predict_test(triples).select("user_tag", "item_id", "prediction")
     return joins.actual_and_predicted(test, predicted, user="user_tag")
 
 
 @query(with_views(*_PAIRS) + """SELECT count(*) AS n_pairs,
     round(sqrt(avg((rating - prediction) ** 2)), 6) AS rmse FROM pairs""")
 def item_mean_rmse(spark, folder):
-    return rounded(baseline.item_mean_rmse(*train_and_test(spark, folder)), "rmse")
+    return rounded(baseline.item_mean_rmse(*train_and_test(stored_triples(spark, folder))), "rmse")
 
 
 @query(with_views(*_PAIRS) + """SELECT rating, count(*) AS n_pairs,
@@ -102,16 +104,18 @@ def rmse_by_rating(spark, folder):
 @query(with_views(*_PAIRS) + """SELECT user_tag, item_id, rating FROM test
 WHERE user_tag IN (SELECT user_tag FROM pairs WHERE prediction >= 6)""")
 def common_users(spark, folder):
-    _, test = train_and_test(spark, folder)
-    predicted = at_least(test_pairs(spark, folder), "prediction", 6)
+    triples = stored_triples(spark, folder)
+    _, test = train_and_test(triples)
+    predicted = at_least(predict_test(triples), "prediction", 6)
     return joins.common_users(test, predicted, user="user_tag").select(*_USER_COLUMNS)
 
 
 @query(with_views(*_PAIRS) + """SELECT user_tag, item_id, rating FROM test
 WHERE (user_tag, item_id) IN (SELECT (user_tag, item_id) FROM pairs WHERE prediction >= 6)""")
 def common_pairs(spark, folder):
-    _, test = train_and_test(spark, folder)
-    predicted = at_least(test_pairs(spark, folder), "prediction", 6)
+    triples = stored_triples(spark, folder)
+    _, test = train_and_test(triples)
+    predicted = at_least(predict_test(triples), "prediction", 6)
     return joins.common_pairs(test, predicted, user="user_tag").select(*_USER_COLUMNS)
 
 
@@ -120,8 +124,9 @@ FROM (SELECT user_tag, count(*) AS n_left FROM test GROUP BY 1)
     JOIN (SELECT user_tag, count(*) AS n_right FROM pairs WHERE prediction >= 6 GROUP BY 1) USING (user_tag)
 WHERE n_left <> n_right""")
 def set_size_mismatch(spark, folder):
-    _, test = train_and_test(spark, folder)
-    return accuracy.set_size_mismatch(test, at_least(test_pairs(spark, folder), "prediction", 6), "user_tag")
+    triples = stored_triples(spark, folder)
+    _, test = train_and_test(triples)
+    return accuracy.set_size_mismatch(test, at_least(predict_test(triples), "prediction", 6), "user_tag")
 
 
 _THRESHOLDS = "SELECT unnest([2, 3, 4, 5, 6, 7, 8, 9, 10])::DOUBLE AS threshold"
@@ -209,7 +214,7 @@ _CURVES = "\nUNION ALL\n".join(_mean_curve(by) for by in ("item_id", "user_tag",
 
 @query(with_views(*_TRIPLES, fractions=_FRACTIONS, spread=_SPREAD) + _CURVES)
 def baseline_learning_curve(spark, folder):
-    ratings = logical.rating_triples(spark, folder)
+    ratings = stored_triples(spark, folder)
     curves = None
     for name, key in (("item_id", ["item_id"]), ("user_tag", ["user_tag"]), ("global", [])):
         curve = baseline.mean_learning_curve(ratings, KEYS, key, "rating", factors.TRAIN_FRACTIONS)

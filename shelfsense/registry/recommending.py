@@ -9,7 +9,7 @@ from shelfsense.operators.factors import AlsSettings
 from shelfsense.operators.joins import with_products
 from shelfsense.plans.recommend import recommend, recommend_by_item_mean
 from shelfsense.plans.validate import als_roc_study
-from shelfsense.registry.core import CLASSES, query, scored_purchases, with_views
+from shelfsense.registry.core import CLASSES, query, scored_purchases, stored_triples, with_views
 from shelfsense.registry.measuring import _BRIDGE as BRIDGE
 from shelfsense.sources import logical
 from shelfsense.sources.session import cut_lineage, fresh_path
@@ -79,7 +79,7 @@ def curated_scores(spark, folder):
 FROM (SELECT DISTINCT item_id FROM triples)
 WHERE item_id NOT IN (SELECT item_id FROM triples JOIN bridge USING (user_tag) WHERE user_id = 700)""")
 def unpurchased_items(spark, folder):
-    ratings = logical.rating_triples(spark, folder)
+    ratings = stored_triples(spark, folder)
     triples = joins.to_user_ids(ratings, joins.user_bridge(ratings))
     return candidates.unpurchased_items(triples, 700).withColumn("user_id", F.col("user_id").cast("long"))
 
@@ -95,7 +95,7 @@ def unpurchased_counts(spark, folder):
 @query(with_views(*_SCORED) + """SELECT user_tag, item_id, prediction, product_name, s.klass, varietal, size, price
 FROM scored s JOIN products p USING (item_id)""")
 def enriched_recommendations(spark, folder):
-    ratings = logical.rating_triples(spark, folder)
+    ratings = stored_triples(spark, folder)
     bridge = cut_lineage(joins.user_bridge(ratings))
     recs = joins.to_user_ids(scored_purchases(spark, folder).select("user_tag", "item_id", "prediction"), bridge)
     return with_products(joins.to_user_tags(recs, bridge), logical.products(spark, folder))
@@ -113,13 +113,13 @@ _UNBOUGHT = """SELECT user_tag, item_id, prediction, varietal AS category, klass
 FROM (SELECT *, {_RANK} FROM lists) JOIN products USING (item_id)""")
 def curated_recommendations(spark, folder):
     """All unpurchased items of all users, scored by item mean, kept at 6.5 or more and curated."""
-    ratings = cut_lineage(logical.rating_triples(spark, folder))
+    ratings = stored_triples(spark, folder)
     return recommend_by_item_mean(ratings, logical.products(spark, folder), CLASSES, threshold=6.5)
 
 
 def _triples(spark, folder):
     """Integer rating triples on the shared folder, as every fit reads them again."""
-    ratings = cut_lineage(logical.rating_triples(spark, folder))
+    ratings = stored_triples(spark, folder)
     return cut_lineage(joins.to_user_ids(ratings, joins.user_bridge(ratings)).select("user_id", "item_id", "rating"))
 
 
@@ -193,7 +193,7 @@ def als_rank_search(spark, folder):
 
 @query()
 def als_recommend(spark, folder):
-    ratings = cut_lineage(logical.rating_triples(spark, folder))
+    ratings = stored_triples(spark, folder)
     return recommend(ratings, logical.products(spark, folder), CLASSES, _SMALL_ALS)
 
 

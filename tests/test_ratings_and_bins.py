@@ -128,7 +128,10 @@ def test_text_repair(spark):
 
 
 def test_retention_and_rejects(spark):
-    before = spark.createDataFrame([("a", "Red"), ("a", "Red"), ("b", None), ("c", "Beer")], "user_tag string, klass string")
-    report = filters.retention(before, before.where("user_tag = 'a'")).first()
+    before = spark.createDataFrame(
+        [("a", "Red", 1), ("a", "Red", 2), ("b", None, 1), ("c", "Beer", 1)], "user_tag string, klass string, date int"
+    )
+    report = filters.retention(before, F.col("n_purchases") > 1).first()
     assert (report.users_before, report.users_after, report.purchases_percent) == (3, 1, 50.0)
+    assert filters.retention(before.limit(0), F.col("n_purchases") > 1).first().users_percent is None
     assert rows(filters.class_rejects(before, ["Red"]), "user_tag") == [("b",), ("c",)]
