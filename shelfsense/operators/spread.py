@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfsense.sources.session import cut_lineage
+
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
@@ -35,11 +37,15 @@ def spread_join(
 ) -> DataFrame:
     """``rows.join(keyed, keys, how)`` with the rows of every hot key dealt to several tasks.
 
+    Looking for hot keys is one pass over the key columns; without any, the join is a plain one.
     The entry of a hot key is repeated once per piece. The piece of a row follows from its values
     and its partition, so a task that is run again deals its rows the same way, and copies of one
     row are dealt out too.
     """
-    hot = F.broadcast(hot_keys(rows, keys, hot_rows))  # at most MAX_HOT_KEYS rows
+    found = cut_lineage(hot_keys(rows, keys, hot_rows))
+    if found.isEmpty():
+        return rows.join(keyed, list(keys), how)
+    hot = F.broadcast(found)  # at most MAX_HOT_KEYS rows
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
     dealt = rows.join(hot, list(keys), "left").withColumn(
         "_piece", F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), pieces).cast("int")

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from shelfsense.operators import candidates, factors, joins, ranking
 from shelfsense.operators.factors import AlsSettings
 from shelfsense.operators.joins import with_products
+from shelfsense.plans.prepare import prepared_ratings
 from shelfsense.plans.recommend import recommend, recommend_by_item_mean
 from shelfsense.plans.validate import als_roc_study
-from shelfsense.registry.core import CLASSES, query, scored_purchases, stored_triples, with_views
+from shelfsense.registry.core import ALL_CLASSES, CLASSES, query, scored_purchases, stored_triples, with_views
 from shelfsense.registry.measuring import _BRIDGE as BRIDGE
 from shelfsense.sources import logical
 from shelfsense.sources.session import cut_lineage, fresh_path
@@ -197,6 +198,15 @@ def als_recommend(spark, folder):
     return recommend(ratings, logical.products(spark, folder), CLASSES, _SMALL_ALS)
 
 
+@query()
+def lists_from_purchases(spark, folder):
+    """The whole way: clean and rate the purchases of all classes, bin, fit, and curate at the production threshold."""
+    products = logical.products(spark, folder)
+    rated = prepared_ratings(logical.purchases(spark, folder), products, ALL_CLASSES, bulk_units=51)
+    ratings = cut_lineage(rated.select("user_tag", "item_id", F.col("label").alias("rating")))
+    return recommend(ratings, products, CLASSES, _SMALL_ALS)
+
+
 @query()
 def als_roc_auc(spark, folder):
     return als_roc_study(_triples(spark, folder), _SMALL_ALS)

@@ -10,7 +10,7 @@ from shelfsense.sources import logical
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ROWS_ONLY = {
     "als_fit_rmse", "als_predict", "als_learning_curve", "als_regularization_scan", "als_grid_search",
-    "als_rank_search", "als_recommend", "als_roc_auc",
+    "als_rank_search", "als_recommend", "als_roc_auc", "lists_from_purchases",
 }
 
 
