@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfsense.operators.binning import assign_bins, bin_edges
 from shelfsense.operators.filters import keep_classes
 from shelfsense.operators.pseudo_ratings import relative_rating
-from shelfsense.sources.session import cut_lineage
+from shelfsense.sources.session import stored
 
 
 def rated_purchases(
@@ -64,5 +64,5 @@ def prepared_ratings(
 
     The ratings are read twice (edges, labels), so they are written to the shared folder between.
     """
-    rated = cut_lineage(rated_purchases(purchases, products, classes, min_purchases, bulk_units))
+    rated = stored(rated_purchases(purchases, products, classes, min_purchases, bulk_units), "rated")
     return assign_bins(rated, "rating", bin_edges(rated, "rating", n_bins))

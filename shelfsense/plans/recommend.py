@@ -14,7 +14,7 @@ from shelfsense.operators.candidates import best_candidates
 from shelfsense.operators.factors import AlsSettings, fit, save
 from shelfsense.operators.joins import to_user_ids, to_user_tags, user_bridge, with_products
 from shelfsense.operators.ranking import curate
-from shelfsense.sources.session import cut_lineage
+from shelfsense.sources.session import stored
 
 RATING_THRESHOLD = 7.0  # fixed value: the production threshold; validation used 9
 
@@ -55,7 +55,8 @@ def integer_triples(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
     The ids serve the model only, so they are dense: 32 bits then hold two billion users.
     """
     bridge = user_bridge(ratings, step=1)
-    return cut_lineage(to_user_ids(ratings, bridge).select("user_id", "item_id", "rating")), bridge
+    triples = to_user_ids(ratings, bridge).select("user_id", "item_id", "rating")
+    return stored(triples, "triples"), bridge
 
 
 def train(ratings: DataFrame, settings: AlsSettings = AlsSettings(), save_to: str | None = None) -> Trained:

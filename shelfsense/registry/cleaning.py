@@ -9,7 +9,7 @@ from shelfsense.operators.profile import value_frequency
 from shelfsense.plans.prepare import prepared_ratings, rated_purchases
 from shelfsense.registry.core import CLASSES, VIEWS, listed_purchases, query, rounded, test_pairs, with_views
 from shelfsense.sources import logical
-from shelfsense.sources.session import cut_lineage
+from shelfsense.sources.session import stored
 
 _PRODUCT_COLUMNS = "item_id, product_name, klass, varietal, size, price"
 
@@ -156,7 +156,7 @@ def bin_edges_all_rows(spark, folder):
 @query(_rating_sql(_ALL_KEPT, "rated", "ranked", "edges", "binned")
        + "SELECT user_tag, item_id, klass, rating, label FROM binned")
 def rating_bins(spark, folder):
-    rated = cut_lineage(pseudo_rating(spark, folder))
+    rated = stored(pseudo_rating(spark, folder), "rated")
     return binning.assign_bins(rated, "rating", binning.bin_edges(rated, "rating"))
 
 

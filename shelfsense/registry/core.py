@@ -11,7 +11,7 @@ from shelfsense.operators.baseline import predict_item_mean
 from shelfsense.operators.joins import with_products
 from shelfsense.operators.sampling import split_by_weights
 from shelfsense.sources import logical
-from shelfsense.sources.session import cut_lineage
+from shelfsense.sources.session import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -82,7 +82,7 @@ def listed_purchases(spark: SparkSession, folder: str) -> DataFrame:
 
 def stored_triples(spark: SparkSession, folder: str) -> DataFrame:
     """Rating triples as a stored table, which is how they come to jobs that read them several times."""
-    return cut_lineage(logical.rating_triples(spark, folder))
+    return stored(logical.rating_triples(spark, folder), "triples")
 
 
 def train_and_test(triples: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -13,7 +13,7 @@ from shelfsense.plans.validate import als_roc_study
 from shelfsense.registry.core import ALL_CLASSES, CLASSES, query, scored_purchases, stored_triples, with_views
 from shelfsense.registry.measuring import _BRIDGE as BRIDGE
 from shelfsense.sources import logical
-from shelfsense.sources.session import cut_lineage, fresh_path
+from shelfsense.sources.session import cut_lineage, fresh_path, stored
 
 _SCORED = ("purchases", "products", "triples", "hashed", "train", "item_means", "scored")
 _LISTED = "'PROMO', 'ECONOMY'"
@@ -121,7 +121,8 @@ def curated_recommendations(spark, folder):
 def _triples(spark, folder):
     """Integer rating triples on the shared folder, as every fit reads them again."""
     ratings = stored_triples(spark, folder)
-    return cut_lineage(joins.to_user_ids(ratings, joins.user_bridge(ratings)).select("user_id", "item_id", "rating"))
+    triples = joins.to_user_ids(ratings, joins.user_bridge(ratings)).select("user_id", "item_id", "rating")
+    return stored(triples, "triples")
 
 
 @query()
@@ -203,7 +204,7 @@ def lists_from_purchases(spark, folder):
     """The whole way: clean and rate the purchases of all classes, bin, fit, and curate at the production threshold."""
     products = logical.products(spark, folder)
     rated = prepared_ratings(logical.purchases(spark, folder), products, ALL_CLASSES, bulk_units=51)
-    ratings = cut_lineage(rated.select("user_tag", "item_id", F.col("label").alias("rating")))
+    ratings = stored(rated.select("user_tag", "item_id", F.col("label").alias("rating")), "ratings")
     return recommend(ratings, products, CLASSES, _SMALL_ALS)
 
 

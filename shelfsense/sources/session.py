@@ -56,6 +56,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, for results that are read several times.
+
+    Unlike a checkpoint it is columnar: a pass over one key reads one column.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast if it has been counted and is small, else leave the join to Spark."""
     fixed = cut_lineage(df)
