@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The columns of the source files.
+
 PURCHASES = T.StructType([
     T.StructField("CustomerHash", T.StringType()),
     T.StructField("ProductKey", T.LongType()),
