@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfsense.llm import exact_dedup
+from shelfsense.llm import decontaminate, exact_dedup, packing
 from shelfsense.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +25,38 @@ def query(sql: str | None = None):
     return register
 
 
+@query(r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g
+            FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i
+                  FROM b WHERE len(w) > 0)),
+    p AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+          FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+                FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+    hit AS (SELECT doc_id, p.n, i, item_id FROM p JOIN win USING (g)),
+    places AS (SELECT doc_id, count(DISTINCT q) AS n_hit
+               FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS q FROM hit) GROUP BY doc_id),
+    items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+              FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
+""")
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 @query(r"""
     WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
                    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
@@ -34,3 +68,12 @@ def query(sql: str | None = None):
 """)
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
+
+
+@query()
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(
+        table(spark, folder, "documents"),
+        public_tokenizers.path(packing.TOKENIZER),
+        public_tokenizers.path(packing.RANKS),
+    )
