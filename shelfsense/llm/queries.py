@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import decontaminate, exact_dedup, packing
+from shelfsense.llm import decontaminate, exact_dedup, jaccard, line_dedup, packing
 from shelfsense.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,39 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
         public_tokenizers.path(packing.TOKENIZER),
         public_tokenizers.path(packing.RANKS),
     )
+
+
+@query(r"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+          FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM w WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    both AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+             FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+    e AS (SELECT a, b FROM both JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+          WHERE 100 * shared >= 75 * (p.n + q.n - shared)),
+    r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+    SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id
+    FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+""")
+def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, folder, "documents"))
+
+
+@query(r"""
+    WITH lines AS (SELECT doc_id, i, line, translate(trim(line, e' \t\n\x0b\f\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz') AS key
+                   FROM (SELECT doc_id, generate_subscripts(l, 1) AS i, unnest(l) AS line
+                         FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
+    many AS (SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 40
+             GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE keeper <> doc_id) AS n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE keeper IS NULL OR keeper = doc_id), ''))
+            AS kept_sha256
+    FROM lines LEFT JOIN many USING (key) GROUP BY doc_id
+""")
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup.without_repeated_lines(table(spark, folder, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_lines", "n_dropped", digest)
