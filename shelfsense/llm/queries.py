@@ -85,9 +85,9 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
           FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM w WHERE len(w) > 0)),
     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-    both AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+    pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
              FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
-    e AS (SELECT a, b FROM both JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+    e AS (SELECT a, b FROM pairs JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
           WHERE 100 * shared >= 75 * (p.n + q.n - shared)),
     r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
     SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id
