@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import decontaminate, exact_dedup, jaccard, line_dedup, packing
+from shelfsense.llm import decontaminate, exact_dedup, jaccard, line_dedup, packing, passages
 from shelfsense.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,8 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.without_repeated_lines(table(spark, folder, "documents"))
     digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     return kept.select("doc_id", "n_lines", "n_dropped", digest)
+
+
+@query()
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, folder, "documents"))
