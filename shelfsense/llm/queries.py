@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import decontaminate, exact_dedup, jaccard, line_dedup, packing, passages
+from shelfsense.llm import brown, decontaminate, exact_dedup, jaccard, line_dedup, packing, passages, toxicity, warc
 from shelfsense.llm.common import table
+from shelfsense.sources.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -118,3 +119,26 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return passages.repeated_passages(table(spark, folder, "documents"))
+
+
+@query()
+def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return brown.score_texts(table(spark, folder, "documents"))
+
+
+@query()
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("""
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+    g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to
+    FROM g
+""")
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived_pages(table(spark, folder, "pages"), fresh_path(spark, "warc"))
