@@ -2,11 +2,11 @@
 
 Jaccard distance is a metric, so pivots part the space exactly (``regions``). Most documents of a corpus,
 though, share no shingle and are at distance 1 from each other and from every pivot, where no triangle helps.
-So only sets that can be near are brought into one region: two sets with similarity t share one of the
-``n - ceil(t n) + 1`` first shingles under any common order. The order here is by how often shingles of a hash
-cell occur, rare cells first; the cells' counts are a table of fixed size over all documents, and errors in it
-cost time, never links. Sets joined by such shingles are a first region, and pivots, windows and recursion do
-the rest. Equal sets are one class from the start.
+So only sets that can be near are brought into one region. Two sets with similarity t share at least l of the
+``n - ceil(t n) + l`` first shingles under any common order; l is a tenth of a set here, so one shared passage
+is seldom enough. The order is by how often shingles of a hash cell occur, rare cells first; the cells' counts
+are a table of fixed size over all documents, and errors in it cost time, never links. Sets joined by such
+shingles are a first region, and pivots, windows and recursion do the rest. Equal sets are one class.
 
 Identity of shingles rests on 64-bit hashes, that of sets on 128 bits.
 """
@@ -31,6 +31,7 @@ WORDS = 5
 NUM, DEN = 75, 100  # linked if DEN * |intersection| >= NUM * |union|
 _CELL_BITS = 20
 _CHUNKS = 64
+_ROUNDS = 2
 
 
 def _texts(batches: Iterator[pa.RecordBatch], column: int, rows: int = 512) -> Iterator[tuple[pa.RecordBatch, list]]:
@@ -40,20 +41,40 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int, rows: int = 512) -> I
             yield part, part.column(column).to_pylist()
 
 
-def _cell_counts(words: int):
+def _digest(bag: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(bag.tobytes())
+
+
+def _least_shared(n: int) -> int:
+    """Shared shingles to look for, for sets of ``n``."""
+    return n // 10 + 1
+
+
+def _described(words: int):
+    """A row per document, and at a task's end its counts by hash cell, in chunks."""
     shift = np.uint64(64 - _CELL_BITS)
+    names = ["id", "n", "digest", "chunk", "task", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << _CELL_BITS, np.int64)
-        for _, texts in _texts(batches, 0):
-            cells = [(shingle_set(t, words) >> shift).astype(np.int64) for t in texts]
-            total += np.bincount(np.concatenate(cells), minlength=len(total))
-        chunks = [c.tobytes() for c in np.split(total, _CHUNKS)]
-        yield pa.RecordBatch.from_pydict({
-            "chunk": pa.array(range(_CHUNKS), pa.int32()),
-            "task": pa.array([TaskContext.get().partitionId()] * _CHUNKS, pa.int32()),
-            "counts": pa.array(chunks, pa.binary()),
-        })
+        total, kind = np.zeros(1 << _CELL_BITS, np.int64), None
+        for part, texts in _texts(batches, 1):
+            bags = [shingle_set(t, words) for t in texts]
+            total += np.bincount((np.concatenate(bags) >> shift).astype(np.int64), minlength=len(total))
+            kind, rows = part.column(0).type, len(bags)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0), pa.array([len(b) for b in bags], pa.int64()), pa.array(map(_digest, bags), pa.binary()),
+                    pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
+                ],
+                names=names,
+            )
+        if kind is not None:
+            chunks = pa.array([c.tobytes() for c in np.split(total, _CHUNKS)], pa.binary())
+            task = pa.array([TaskContext.get().partitionId()] * _CHUNKS, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(_CHUNKS, kind), pa.nulls(_CHUNKS, pa.int64()), pa.nulls(_CHUNKS, pa.binary()), pa.array(range(_CHUNKS), pa.int32()), task, chunks],
+                names=names,
+            )
 
     return run
 
@@ -65,44 +86,35 @@ def _added(rows: pa.Table) -> pa.Table:
     })
 
 
-def cell_levels(docs: DataFrame, text_col: str = "text", words: int = WORDS) -> np.ndarray:
+def _cell_levels(counted: DataFrame) -> np.ndarray:
     """For each of 2^20 hash cells the number of binary digits of its shingles' document count: 1 MB."""
     schema = "chunk int, task int, counts binary"
-    counted = docs.select(text_col).mapInArrow(_cell_counts(words), schema)
     part = F.pmod("task", F.lit(256))
     counted = counted.withColumn("part", part).groupBy("chunk", "part").applyInArrow(_added, schema)
     rows = counted.groupBy("chunk").applyInArrow(_added, schema).collect()  # _CHUNKS rows of fixed size
+    if not rows:
+        return np.zeros(1 << _CELL_BITS, np.uint8)
     total = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in sorted(rows)])
-    return np.ceil(np.log2(total + 1)).astype(np.uint8) if rows else np.zeros(1 << _CELL_BITS, np.uint8)
-
-
-def _digest(bag: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(bag.tobytes())
+    return np.ceil(np.log2(total + 1)).astype(np.uint8)
 
 
-def _described(levels, words: int, num: int, den: int):
+def _prefixes(levels, words: int, num: int, den: int):
     shift, low = np.uint64(64 - _CELL_BITS), np.uint64(8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value.astype(np.uint64) << np.uint64(56)
         for part, texts in _texts(batches, 1):
-            n, digests, short, prefixes = [], [], [], []
+            digests, prefixes = [], []
             for text in texts:
                 bag = shingle_set(text, words)
-                n.append(len(bag))
                 digests.append(_digest(bag))
-                short.append(int.from_bytes(digests[-1][:8], "little", signed=True))
                 rarity = level[(bag >> shift).astype(np.int64)] | (bag >> low)
-                needed = len(bag) + 1 + (-num * len(bag) // den) if len(bag) else 0  # n - ceil(t n) + 1
+                needed = len(bag) + (-num * len(bag) // den) + _least_shared(len(bag))  # n - ceil(t n) + l
                 prefixes.append(bag[np.argsort(rarity, kind="stable")[:needed]].view(np.int64))
-            lengths = [len(p) for p in prefixes]
             lists = pa.ListArray.from_arrays(
-                pa.array(np.cumsum([0, *lengths]), pa.int32()), pa.array(np.concatenate(prefixes), pa.int64())
-            )
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(short, pa.int64()), lists],
-                names=["id", "n", "digest", "short", "prefix"],
+                pa.array(np.cumsum([0, *map(len, prefixes)]), pa.int32()), pa.array(np.concatenate(prefixes), pa.int64())
             )
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(digests, pa.binary()), lists], names=["id", "digest", "prefix"])
 
     return run
 
@@ -137,25 +149,43 @@ def similar_groups(
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
-    levels = spark.sparkContext.broadcast(cell_levels(texts, "text", words))
-    sets = stored(
-        texts.mapInArrow(_described(levels, words, num, den), f"id {kind}, n long, digest binary, short long, prefix array<long>"),
-        "shingle-sets",
+    described = stored(
+        texts.mapInArrow(_described(words), f"id {kind}, n long, digest binary, chunk int, task int, counts binary"), "shingle-sets"
     )
+    levels = spark.sparkContext.broadcast(_cell_levels(described.where("chunk IS NOT NULL").select("chunk", "task", "counts")))
+    sets = described.where("chunk IS NULL").select("id", "n", "digest")
     filled = sets.where("n > 0")
-
-    # one row per distinct set, then: sets that share a necessary shingle
-    classes = filled.groupBy("short", "digest").agg(F.first("prefix").alias("prefix"))
-    needed = classes.select("short", F.explode("prefix").alias("shingle"))
-    head = F.min("short").over(Window.partitionBy("shingle"))
-    shared = needed.withColumn("head", head).where("short <> head").select("short", "head").distinct()
-    first = stored(components(shared, "short", "head"), "first-regions")
+    named = stored(filled.groupBy("digest").agg(F.min("id").alias("first_id"), F.first("n").alias("n")), "classes")
+
+    # a row of the set that has the smallest id stands for all equal sets
+    copies = spread_join(filled, named.drop("n"), ["digest"]).where("id <> first_id").select("id", "digest")
+    needed = (
+        texts.mapInArrow(_prefixes(levels, words, num, den), f"id {kind}, digest binary, prefix array<long>")
+        .join(small_side(copies), ["id", "digest"], "left_anti")
+        .select("digest", F.explode("prefix").alias("shingle"))
+        .select(F.xxhash64("digest").alias("short"), "shingle")
+    )
+    one = Window.partitionBy("shingle")
+
+    def shared(rows: DataFrame) -> DataFrame:
+        """Rows whose shingle another set has too, with the smallest of these sets."""
+        ends = rows.withColumn("head", F.min("short").over(one)).withColumn("last", F.max("short").over(one))
+        return ends.where("head < last").select("short", "shingle", "head")
+
+    common = stored(shared(needed), "shared-shingles")
+    size = named.groupBy(F.xxhash64("digest").alias("short")).agg(F.min("n").alias("n"))
+    smallest_partner = F.ceil(F.lit(num) * F.col("n") / den)
+    least = F.floor(smallest_partner / 10) + 1  # as _least_shared
+    for _ in range(_ROUNDS):
+        counts = common.groupBy("short").agg(F.count(F.lit(1)).alias("shared"))
+        enough = counts.join(size, "short").where(F.col("shared") >= least).select("short")
+        common = stored(shared(common.drop("head").join(small_side(enough), "short", "left_semi")), "shared-shingles")
+    first = stored(components(common.select("short", "head").distinct(), "short", "head"), "first-regions")
     members = first.select(F.col("node").alias("short"), F.col("root").alias("region")).union(
         first.select(F.col("root").alias("short"), F.col("root").alias("region")).distinct()
     )
 
-    named = stored(filled.groupBy("short", "digest").agg(F.min("id").alias("first_id")), "classes")
-    wanted = named.join(members, "short").select("region", "digest", "first_id")
+    wanted = named.withColumn("short", F.xxhash64("digest")).join(members, "short").select("region", "digest", "first_id")
     bags = stored(
         texts.join(small_side(wanted), F.col("id").eqNullSafe(F.col("first_id")))
         .select("region", "digest", "text")
@@ -166,7 +196,7 @@ def similar_groups(
     grouped = linked.select(F.col("node").alias("digest"), "root").union(
         linked.select(F.col("root").alias("digest"), "root").distinct()
     )
-    grouped = stored(grouped.join(named.select("digest", "first_id"), "digest"), "groups")
+    grouped = stored(grouped.join(named.drop("n"), "digest"), "groups")
     smallest = grouped.groupBy("root").agg(F.min("first_id").alias("smallest"))
     by_set = named.join(grouped.select("digest", "root").join(smallest, "root").drop("root"), "digest", "left").select(
         "digest", F.coalesce("smallest", "first_id").alias("component_id")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import brown, decontaminate, exact_dedup, jaccard, line_dedup, packing, passages, toxicity, warc
+from shelfsense.llm import brown, decontaminate, exact_dedup, jaccard, licenses, line_dedup, packing, passages, toxicity, warc
 from shelfsense.llm.common import table
 from shelfsense.sources.session import fresh_path
 
@@ -142,3 +142,12 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived_pages(table(spark, folder, "pages"), fresh_path(spark, "warc"))
+
+
+@query()
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files of a tree of sources and languages."""
+    docs = table(spark, folder, "documents")
+    files = docs.select(F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text")
+    found = licenses.file_licences(files)
+    return found.select(F.element_at(F.split("path", "/"), -1).cast("long").alias("doc_id"), "*")

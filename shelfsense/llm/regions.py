@@ -4,14 +4,16 @@ Input rows are ``(region, node, bag)``: a bag holds the sorted distinct 64-bit h
 joins any two nodes of a region whose sets are similar enough, through a chain of such links; it is a forest
 per task and not every link, so a group of n near copies gives about n rows.
 
-A region with too much work for one task is cut. A few of its sets become pivots; every set measures its
-distance to each, in tasks that hold a part of the region and all its pivots. A set goes to the cell of its
-nearest pivot as a home row. With links up to distance e, the triangle inequality says that any partner of a
-home row of cell i lies within 2e of the border: ``d(y, p_i) <= d(y, nearest) + 2e``. Such rows are copied to
-the cell as window rows, which meet home rows only. A set within e of a pivot is linked to it at once; sets
-linked to connected pivots need not meet each other, so they stay home rows only where another group is near.
-Cells are cut again until the home rows fit; whatever the pivots cannot part (many sets at about the same
-distance from each other) is compared in blocks, each block of home rows with each block of rows.
+A region with too much work for one task is cut. A few of its sets become pivots, none linked to another; every
+set measures its distance to each, in tasks that hold a part of the region and all its pivots. With links up to
+distance e, a set within BALL of a pivot is a home row in the cell of its nearest pivot. Any partner of it lies,
+by the triangle inequality, within BALL + e of that pivot and within 2e of the border,
+``d(y, p_i) <= d(y, nearest) + 2e``; such rows are copied to the cell as window rows, which meet home rows only.
+Sets beyond BALL of all pivots stay together and need no windows, as partners inside a ball find them there. A set
+within e of a pivot is linked to it at once; sets linked to the same pivot need not meet each other, so they stay
+home rows only where another pivot is near. Cells are cut again until the home rows fit; whatever the pivots
+cannot part (many sets at about the same distance from each other) is compared in blocks, each block of home rows
+with each block of rows.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ LEAF_WORK = 4_000_000
 ROW_WORK = 512
 PIVOTS = 8
 LEVELS = 4
-_PIVOT_TRIES = 4
+BALL = 0.5
 
 _EDGES = "a binary, b binary"
 _STEP = "region long, node binary, home boolean, bag binary, other binary"
@@ -165,26 +167,27 @@ def _cells(num: int, den: int):
 
         between = _shared_with(pivots, pivots)
         near = den * between >= num * (pivot_sizes[:, None] + pivot_sizes - between)
-        group = np.arange(len(pivots))
-        for _ in pivots:
-            group = np.array([group[near[i]].min() for i in range(len(pivots))])
+        apart: list[int] = []
+        for k in range(len(pivots)):
+            if not near[k, apart].any():
+                apart.append(k)
+        names, distance, linked = [names[k] for k in apart], distance[:, apart], linked[:, apart]
         tag = mixed(hashes(names) ^ np.uint64(region & (2**64 - 1))).view(np.int64)
 
-        nearest = distance.argmin(1)
-        window = distance <= distance.min(1)[:, None] + 2 * reach
+        nearest, least = distance.argmin(1), distance.min(1)
+        inside = least <= BALL + 1e-9
+        window = (distance <= least[:, None] + 2 * reach) & (distance <= BALL + reach)
+        # rows linked to a pivot meet others only if a pivot they are not linked to is near
+        stays = np.array(home) & ~(pure & linked.any(1) & ~(~linked & (distance <= 2 * reach)).any(1))
         out: list[tuple] = []
         for i, node in enumerate(nodes):
-            groups = set(group[linked[i]].tolist())
-            for g in groups:
-                pivot = names[int(np.flatnonzero(linked[i] & (group == g))[0])]
-                if pivot != node:
-                    out.append((region, node, False, None, pivot))
-            stays = home[i]
-            if stays and groups and pure:
-                foreign = ~np.isin(group, list(groups))
-                stays = bool((distance[i][foreign] <= 2 * reach).any())
+            for k in np.flatnonzero(linked[i]):
+                if names[k] != node:
+                    out.append((region, node, False, None, names[k]))
+            if not inside[i]:
+                out.append((region, node, home[i], blobs[i], None))
             for k in np.flatnonzero(window[i]):
-                out.append((int(tag[k]), node, stays and k == nearest[i], blobs[i], None))
+                out.append((int(tag[k]), node, bool(stays[i] and inside[i] and k == nearest[i]), blobs[i], None))
         columns = zip(*out) if out else [[]] * 5
         return pa.table([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
@@ -253,13 +256,16 @@ def links(
     """
     current = rows.select("region", "node", F.lit(True).alias("home"), "bag")
     found = []
+    before = None
     for level in range(levels):
         large = cut_lineage(_sizes(current).where((F.col("at_home") > leaf_work / 2) & (F.col("work") > leaf_work)))
-        if large.isEmpty():
-            break
+        at_home = large.agg(F.sum("at_home")).first()[0] or 0.0
+        if not at_home or (before is not None and at_home > 0.9 * before):
+            break  # the pivots no longer part anything
+        before = at_home
         step = stored(_split(current, large, num, den, leaf_work, pivots, level), "cells")
         found.append(step.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")))
         rest = current.join(large.select("region"), "region", "left_anti")
-        current = stored(rest.union(step.where("other IS NULL").drop("other")), "regions")
+        current = rest.union(step.where("other IS NULL").drop("other"))
     found.append(_compare(current, num, den, leaf_work))
     return reduce(DataFrame.union, found)
