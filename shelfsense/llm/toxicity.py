@@ -134,7 +134,7 @@ def disguised(token: str) -> bool:
 
 
 def _forms(token: str, model: np.ndarray) -> list[str]:
-    plain = token.strip(_AROUND)
+    plain = token.strip(_AROUND).lstrip("([{<" + _AROUND)
     if not plain:
         return []
     if not disguised(plain):
