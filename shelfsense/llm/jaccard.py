@@ -5,8 +5,10 @@ though, share no shingle and are at distance 1 from each other and from every pi
 So only sets that can be near are brought into one region. Two sets with similarity t share at least l of the
 ``n - ceil(t n) + l`` first shingles under any common order; l is a tenth of a set here, so one shared passage
 is seldom enough. The order is by how often shingles of a hash cell occur, rare cells first; the cells' counts
-are a table of fixed size over all documents, and errors in it cost time, never links. Sets joined by such
-shingles are a first region, and pivots, windows and recursion do the rest. Equal sets are one class.
+are a table of fixed size over all documents, and errors in it cost time, never links. The few sets that pass
+are looked at whole: a set needs t n shingles that others of them have too, and only its rarest
+``n - ceil(t n) + 1``, now by exact counts, join it with others. Sets so joined are a first region, and pivots,
+windows and recursion do the rest. Equal sets are one class.
 
 Identity of shingles rests on 64-bit hashes, that of sets on 128 bits.
 """
@@ -31,7 +33,6 @@ WORDS = 5
 NUM, DEN = 75, 100  # linked if DEN * |intersection| >= NUM * |union|
 _CELL_BITS = 20
 _CHUNKS = 64
-_ROUNDS = 2
 
 
 def _texts(batches: Iterator[pa.RecordBatch], column: int, rows: int = 512) -> Iterator[tuple[pa.RecordBatch, list]]:
@@ -123,18 +124,42 @@ def _with_bags(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _texts(batches, 2):
             rows = []
-            for region, digest, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts):
+            for short, digest, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts):
                 bag = shingle_set(text, words)
                 if _digest(bag) == digest:  # else another row with the same id
-                    rows.append((region, digest, bag.tobytes()))
-            region, node, bags = zip(*rows) if rows else ([], [], [])
+                    rows.append((short, digest, bag.tobytes()))
+            short, node, bags = zip(*rows) if rows else ([], [], [])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(region, pa.int64()), pa.array(node, pa.binary()), pa.array(bags, pa.binary())], names=["region", "node", "bag"]
+                [pa.array(short, pa.int64()), pa.array(node, pa.binary()), pa.array(bags, pa.binary())], names=["short", "node", "bag"]
             )
 
     return run
 
 
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bags as lists of numbers."""
+    for batch in batches:
+        blobs = batch.column(1).to_pylist()
+        ends = np.cumsum([0, *(len(b) // 8 for b in blobs)])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(blobs), np.int64)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["short", "shingles"])
+
+
+def _first_regions(bags: DataFrame, num: int, den: int) -> DataFrame:
+    """``short, region`` of sets that share a necessary shingle under the order of exact counts, through others or not."""
+    shingles = bags.select("short", "bag").dropDuplicates(["short"]).mapInArrow(_listed, "short long, shingles array<long>")
+    shingles = shingles.select("short", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    one, own = Window.partitionBy("shingle"), Window.partitionBy("short")
+    shared = shingles.withColumn("sets", F.count(F.lit(1)).over(one)).where("sets > 1")
+    ranked = shared.withColumn("live", F.count(F.lit(1)).over(own)).withColumn(
+        "rank", F.row_number().over(own.orderBy("sets", "shingle")) + F.col("n") - F.col("live")
+    )
+    needed = ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.lit(num) * F.col("n") / den) + 1).select("short", "shingle")
+    heads = needed.withColumn("head", F.min("short").over(one)).where("short <> head").select("short", "head").distinct()
+    joined = stored(components(heads, "short", "head"), "first-regions")
+    return joined.select(F.col("node").alias("short"), F.col("root").alias("region")).union(joined.select("root", "root").distinct())
+
+
 def similar_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, num: int = NUM, den: int = DEN, **options
 ) -> DataFrame:
@@ -167,32 +192,21 @@ def similar_groups(
     )
     one = Window.partitionBy("shingle")
 
-    def shared(rows: DataFrame) -> DataFrame:
-        """Rows whose shingle another set has too, with the smallest of these sets."""
-        ends = rows.withColumn("head", F.min("short").over(one)).withColumn("last", F.max("short").over(one))
-        return ends.where("head < last").select("short", "shingle", "head")
-
-    common = stored(shared(needed), "shared-shingles")
+    ends = needed.withColumn("head", F.min("short").over(one)).withColumn("last", F.max("short").over(one))
+    common = ends.where("head < last").select("short")
     size = named.groupBy(F.xxhash64("digest").alias("short")).agg(F.min("n").alias("n"))
     smallest_partner = F.ceil(F.lit(num) * F.col("n") / den)
     least = F.floor(smallest_partner / 10) + 1  # as _least_shared
-    for _ in range(_ROUNDS):
-        counts = common.groupBy("short").agg(F.count(F.lit(1)).alias("shared"))
-        enough = counts.join(size, "short").where(F.col("shared") >= least).select("short")
-        common = stored(shared(common.drop("head").join(small_side(enough), "short", "left_semi")), "shared-shingles")
-    first = stored(components(common.select("short", "head").distinct(), "short", "head"), "first-regions")
-    members = first.select(F.col("node").alias("short"), F.col("root").alias("region")).union(
-        first.select(F.col("root").alias("short"), F.col("root").alias("region")).distinct()
-    )
-
-    wanted = named.withColumn("short", F.xxhash64("digest")).join(members, "short").select("region", "digest", "first_id")
+    counts = common.groupBy("short").agg(F.count(F.lit(1)).alias("shared"))
+    enough = counts.join(size, "short").where(F.col("shared") >= least).select("short")
+    wanted = named.withColumn("short", F.xxhash64("digest")).join(enough, "short").select("short", "digest", "first_id")
     bags = stored(
-        texts.join(small_side(wanted), F.col("id").eqNullSafe(F.col("first_id")))
-        .select("region", "digest", "text")
-        .mapInArrow(_with_bags(words), "region long, node binary, bag binary"),
+        texts.join(small_side(wanted), F.col("id").eqNullSafe(F.col("first_id"))).select("short", "digest", "text")
+        .mapInArrow(_with_bags(words), "short long, node binary, bag binary"),
         "bags",
     )
-    linked = components(regions.links(bags, num, den, **options))
+    near = stored(bags.join(small_side(_first_regions(bags, num, den)), "short").select("region", "node", "bag"), "region-bags")
+    linked = components(regions.links(near, num, den, **options))
     grouped = linked.select(F.col("node").alias("digest"), "root").union(
         linked.select(F.col("root").alias("digest"), "root").distinct()
     )
