@@ -7,6 +7,8 @@ A side that was aggregated on the join key does not, so these joins deal out hot
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from shelfsense.sources.session import cut_lineage
 
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
+NULL_PIECES = 1_000
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -47,8 +50,10 @@ def spread_join(
         return rows.join(keyed, list(keys), how)
     hot = F.broadcast(found)  # at most MAX_HOT_KEYS rows
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])  # matches nothing, so any piece will do
+    spread = F.xxhash64(*rows.columns, F.spark_partition_id())
     dealt = rows.join(hot, list(keys), "left").withColumn(
-        "_piece", F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), pieces).cast("int")
+        "_piece", F.pmod(spread, F.when(no_key, NULL_PIECES).otherwise(pieces)).cast("int")
     )
     repeated = keyed.join(hot, list(keys), "left").withColumn(
         "_piece", F.explode(F.sequence(F.lit(0), pieces - 1))
