@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,15 +43,21 @@ def mark_first(
         .where((F.col("_through") - F.col("_n") < F.col("_take")) & (F.col("_take") <= F.col("_through")))
         .select(*strata, "_cell", (F.col("_take") - F.col("_through") + F.col("_n")).alias("_left"))
     )
+    def beside(rows: DataFrame, cuts: DataFrame, keys: list[str], how: str) -> DataFrame:
+        """Join on keys that may be null: a null stratum is a stratum."""
+        named = cuts.withColumnsRenamed({k: f"{k}_cut" for k in keys})
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"{k}_cut")) for k in keys])
+        return rows.join(named, same, how).drop(*(f"{k}_cut" for k in keys))
+
     in_cell = Window.partitionBy(*strata).orderBy("_hash", *keys)
     cut_row = (
-        hashed.join(small_side(cut_cell), [*strata, "_cell"])
+        beside(hashed, small_side(cut_cell), [*strata, "_cell"], "inner")
         .withColumn("_rank", F.row_number().over(in_cell))
         .where(F.col("_rank") == F.col("_left"))
         .select(*strata, F.struct("_hash", *keys).alias("_cut"))
     )
     if by:
-        marked = hashed.join(small_side(cut_row), by, "left")
+        marked = beside(hashed, small_side(cut_row), [by], "left")
     else:
         marked = hashed.withColumn("_cut", cut_row.select("_cut").scalar())
     inside = F.coalesce(F.struct("_hash", *keys) <= F.col("_cut"), F.lit(False))
