@@ -8,7 +8,7 @@ from itertools import product
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -32,7 +32,7 @@ class AlsSettings:
     reg: float = 0.1
     nonnegative: bool = True
     seed: int = 5
-    blocks: int | None = None  # the session's parallelism, at least 10
+    blocks: int = 10  # starting factors are drawn per block, so this is part of the model and never read from the session
 
 
 def fit(triples: DataFrame, settings: AlsSettings = AlsSettings()) -> ALSModel:
@@ -40,17 +40,15 @@ def fit(triples: DataFrame, settings: AlsSettings = AlsSettings()) -> ALSModel:
 
     The factor tables are checkpointed to the shared folder every few iterations.
     """
-    spark = triples.sparkSession
-    shared_folder(spark)
-    blocks = settings.blocks or max(10, spark.sparkContext.defaultParallelism)
+    shared_folder(triples.sparkSession)
     als = ALS(
         rank=settings.rank,
         maxIter=settings.max_iter,
         regParam=settings.reg,
         nonnegative=settings.nonnegative,
         seed=settings.seed,
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
+        numUserBlocks=settings.blocks,
+        numItemBlocks=settings.blocks,
         checkpointInterval=5,
         userCol="user_id",
         itemCol="item_id",
@@ -145,8 +143,9 @@ def grid_search(
 
 def lowest_errors(curves: DataFrame, k: int = 6, error: str = "test_rmse", ties: Sequence[str] = ()) -> DataFrame:
     """The ``k`` parameter sets with the smallest error at the largest train fraction."""
-    largest = curves.agg(F.max("train_fraction")).scalar()
-    return curves.where(F.col("train_fraction") == largest).orderBy(error, *ties).limit(k)
+    # a curve has a few rows per parameter set, so one task can rank them all, and the curves run once
+    newest = F.dense_rank().over(Window.orderBy(F.desc("train_fraction")))
+    return curves.withColumn("_newest", newest).where("_newest = 1").drop("_newest").orderBy(error, *ties).limit(k)
 
 
 def rank_search(

@@ -8,7 +8,7 @@ from shelfsense.operators import candidates, factors, joins, ranking
 from shelfsense.operators.factors import AlsSettings
 from shelfsense.operators.joins import with_products
 from shelfsense.plans.prepare import prepared_ratings
-from shelfsense.plans.recommend import recommend, recommend_by_item_mean
+from shelfsense.plans.recommend import integer_triples, recommend, recommend_by_item_mean
 from shelfsense.plans.validate import als_roc_study
 from shelfsense.registry.core import ALL_CLASSES, CLASSES, query, scored_purchases, stored_triples, with_views
 from shelfsense.registry.measuring import _BRIDGE as BRIDGE
@@ -17,7 +17,6 @@ from shelfsense.sources.session import cut_lineage, fresh_path, stored
 
 _SCORED = ("purchases", "products", "triples", "hashed", "train", "item_means", "scored")
 _LISTED = "'PROMO', 'ECONOMY'"
-_SMALL_ALS = AlsSettings(rank=8, max_iter=5)
 
 
 def _curation(candidates: str, user: str) -> dict[str, str]:
@@ -90,7 +89,7 @@ FROM (SELECT user_tag, item_id FROM (SELECT DISTINCT user_tag FROM triples)
         CROSS JOIN (SELECT DISTINCT item_id FROM triples)
     EXCEPT SELECT user_tag, item_id FROM triples) GROUP BY user_tag""")
 def unpurchased_counts(spark, folder):
-    return candidates.unpurchased_counts(logical.rating_triples(spark, folder), user="user_tag")
+    return candidates.unpurchased_counts(stored_triples(spark, folder), user="user_tag")
 
 
 @query(with_views(*_SCORED) + """SELECT user_tag, item_id, prediction, product_name, s.klass, varietal, size, price
@@ -119,45 +118,46 @@ def curated_recommendations(spark, folder):
 
 
 def _triples(spark, folder):
-    """Integer rating triples on the shared folder, as every fit reads them again."""
-    ratings = stored_triples(spark, folder)
-    triples = joins.to_user_ids(ratings, joins.user_bridge(ratings)).select("user_id", "item_id", "rating")
-    return stored(triples, "triples")
+    """Integer rating triples with dense ids on the shared folder, as every fit reads them again."""
+    return integer_triples(stored_triples(spark, folder))[0]
 
 
 @query()
 def als_fit_rmse(spark, folder):
-    _, test, pairs = factors.train_and_test(_triples(spark, folder), settings=_SMALL_ALS)
+    _, test, pairs = factors.train_and_test(_triples(spark, folder), settings=AlsSettings())
     error = F.sqrt(F.avg(F.pow(F.col("rating") - F.col("prediction"), F.lit(2))))
     return pairs.agg(F.count(F.lit(1)).alias("n_pairs"), error.alias("rmse"))
 
 
 @query()
 def als_predict(spark, folder):
-    return factors.train_and_test(_triples(spark, folder), settings=_SMALL_ALS)[2]
+    return factors.train_and_test(_triples(spark, folder), settings=AlsSettings())[2]
 
 
+_DENSE = BRIDGE.replace("* 100", "* 1")
 _HASHED_IDS = """SELECT *, CAST('0x' || substr(md5(concat_ws('|', user_id, item_id)), 1, 8) AS BIGINT)
             / 4294967296.0 AS place FROM triples JOIN bridge USING (user_tag)"""
 
 
-@query(with_views("purchases", "triples", bridge=BRIDGE, hashed=_HASHED_IDS) + """SELECT user_id, item_id, rating
-FROM hashed WHERE place >= 0.05 AND user_id IN (SELECT user_id FROM hashed WHERE place < 0.05)
-    AND item_id IN (SELECT item_id FROM hashed WHERE place < 0.05)""")
+@query(with_views("purchases", "triples", bridge=_DENSE, hashed=_HASHED_IDS,
+                  users="SELECT DISTINCT user_id FROM hashed WHERE place < 0.05",
+                  items="SELECT DISTINCT item_id FROM hashed WHERE place < 0.05")
+       + """SELECT user_id, item_id, rating FROM hashed JOIN users USING (user_id) JOIN items USING (item_id)
+WHERE place >= 0.05""")
 def als_prediction_coverage(spark, folder):
     """Which test pairs get a prediction when only 5 % of the ratings are seen in training."""
-    _, test, pairs = factors.train_and_test(_triples(spark, folder), test_fraction=0.95, settings=_SMALL_ALS)
+    _, test, pairs = factors.train_and_test(_triples(spark, folder), test_fraction=0.95, settings=AlsSettings())
     return pairs.where("prediction is not null").select(
         F.col("user_id").cast("long"), F.col("item_id").cast("long"), "rating"
     )
 
 
-@query(with_views("purchases", "triples") + """SELECT 8::INTEGER AS rank, count(*) AS n_pairs,
+@query(with_views("purchases", "triples") + """SELECT 20::INTEGER AS rank, count(*) AS n_pairs,
     0::BIGINT AS n_different FROM triples""")
 def als_model_roundtrip(spark, folder):
     """Save over an older model, load, and compare the predictions of both models on all pairs."""
     triples = _triples(spark, folder)
-    model = factors.fit(triples, _SMALL_ALS)
+    model = factors.fit(triples, AlsSettings())
     path = fresh_path(spark, "als-model")
     factors.save(model, path)
     factors.save(model, path)
@@ -174,12 +174,12 @@ def als_model_roundtrip(spark, folder):
 
 @query()
 def als_learning_curve(spark, folder):
-    return factors.learning_curve(_triples(spark, folder), _SMALL_ALS)
+    return factors.learning_curve(_triples(spark, folder))
 
 
 @query()
 def als_regularization_scan(spark, folder):
-    return factors.regularisation_scan(_triples(spark, folder), settings=_SMALL_ALS, train_fractions=(0.5, 0.8))
+    return factors.regularisation_scan(_triples(spark, folder))
 
 
 @query()
@@ -190,13 +190,13 @@ def als_grid_search(spark, folder):
 
 @query()
 def als_rank_search(spark, folder):
-    return factors.rank_search(_triples(spark, folder), settings=AlsSettings(max_iter=5, nonnegative=False))
+    return factors.rank_search(_triples(spark, folder), settings=AlsSettings(max_iter=10, nonnegative=False))
 
 
 @query()
 def als_recommend(spark, folder):
     ratings = stored_triples(spark, folder)
-    return recommend(ratings, logical.products(spark, folder), CLASSES, _SMALL_ALS)
+    return recommend(ratings, logical.products(spark, folder), CLASSES, AlsSettings())
 
 
 @query()
@@ -205,9 +205,9 @@ def lists_from_purchases(spark, folder):
     products = logical.products(spark, folder)
     rated = prepared_ratings(logical.purchases(spark, folder), products, ALL_CLASSES, bulk_units=51)
     ratings = stored(rated.select("user_tag", "item_id", F.col("label").alias("rating")), "ratings")
-    return recommend(ratings, products, CLASSES, _SMALL_ALS)
+    return recommend(ratings, products, CLASSES, AlsSettings())
 
 
 @query()
 def als_roc_auc(spark, folder):
-    return als_roc_study(_triples(spark, folder), _SMALL_ALS)
+    return als_roc_study(_triples(spark, folder), AlsSettings())
