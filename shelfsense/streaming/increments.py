@@ -37,8 +37,10 @@ def absorb_new(
 
     Each micro-batch overwrites its own folder, so a batch that is replayed after a failure does
     not count twice. ``arrivals`` is a streaming DataFrame, ``to_purchases`` turns a batch of it
-    into purchase rows.
+    into purchase rows. Before anything has arrived the totals are an empty table.
     """
+    nothing = arrivals.sparkSession.createDataFrame([], arrivals.schema)
+    batch_totals(to_purchases(nothing)).write.mode("overwrite").parquet(f"{totals_path}/batch=-1")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch_totals(to_purchases(batch)).write.mode("overwrite").parquet(f"{totals_path}/batch={batch_id}")
