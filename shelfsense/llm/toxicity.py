@@ -214,13 +214,13 @@ def _scored(model, weights):
 
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str, label: str, most: int) -> DataFrame:
-    """Texts and labels of at most ``most`` labelled rows that are not held out, chosen by hash."""
+    """Texts and labels of at most ``most`` labelled ids that are not held out, chosen by hash."""
     wanted = labels.where(F.col(label).isNotNull() & ~held_out(F.col(label_id), 4)).select(
         F.col(label_id).alias("labelled"), (F.col(label) > 0).cast("double").alias("label")
     )
     chosen = stored(wanted.distinct().orderBy(F.xxhash64("labelled"), "labelled", "label").limit(most), "label-sample")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(chosen), texts["id"] == chosen["labelled"]).select("text", "label").limit(2 * most)
+    return texts.join(F.broadcast(chosen), texts["id"] == chosen["labelled"]).select("text", "label")
 
 
 def train(
