@@ -55,10 +55,15 @@ def shingles(words: np.ndarray, size: int = 5) -> np.ndarray:
     if n == 0:
         return words
     width = min(size, n)
+    return run_hashes([words[i : n - width + 1 + i] for i in range(width)])
+
+
+def run_hashes(columns: list[np.ndarray]) -> np.ndarray:
+    """A hash for each row of adjoining words, given as columns of word hashes."""
     with np.errstate(over="ignore"):
-        run = np.full(n - width + 1, np.uint64(width))
-        for i in range(width):
-            run = run * _STEP + words[i : n - width + 1 + i]
+        run = np.full(len(columns[0]), np.uint64(len(columns)))
+        for words in columns:
+            run = run * _STEP + words
         return mixed(run)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,13 +18,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfsense.llm import regions
-from shelfsense.llm.common import components, hashes, mixed, shingles, words_of
-from shelfsense.sources.session import small_side, stored
+from shelfsense.llm.common import components, hashes, mixed, run_hashes, shingles, words_of
+from shelfsense.sources.session import stored
 
 WORDS = 5
 NUM, DEN = 75, 100
-RECALL = 0.98
-RADIUS = 5
+RECALL = 0.93  # of pairs at the threshold; equal paragraphs are always found, nearer ones more often
+RADIUS = 7
 MAX_WORDS = 64
 LEAST_RUN = 14  # words: a passage of over 50 words has at least about that many in whole paragraphs
 GAP = 16  # words: an edit inside a near copy spoils a paragraph, not the passage around it
@@ -49,39 +50,54 @@ def tuned_bands(threshold: float = NUM / DEN, recall: float = RECALL, most_keys:
 BANDS, ROWS = tuned_bands()
 
 
-def paragraph_starts(words: np.ndarray) -> np.ndarray:
-    """First words of the paragraphs of a text's word hashes."""
-    n, span = len(words), 2 * RADIUS + 1
-    cuts = np.empty(0, np.int64)
-    if n > span:
-        with np.errstate(over="ignore"):
-            pair = mixed(words[:-1] * _ODD + words[1:])
-        lows = np.lib.stride_tricks.sliding_window_view(pair, span).argmin(1) == RADIUS
-        cuts = np.flatnonzero(lows) + RADIUS
-    starts = np.r_[0, cuts] if n else cuts
-    gaps = np.diff(np.r_[starts, n])
-    if n and gaps.max() > MAX_WORDS:
-        starts = np.concatenate([np.arange(s, s + g, MAX_WORDS) for s, g in zip(starts, gaps)])
+def _least(padded: np.ndarray, at: np.ndarray, shifts: range) -> np.ndarray:
+    out = padded[at + shifts[0]]
+    for s in shifts[1:]:
+        np.minimum(out, padded[at + s], out=out)
+    return out
+
+
+def paragraph_starts(words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """First words of the paragraphs of many texts, whose word hashes stand one after the other."""
+    n = len(words)
+    if n == 0:
+        return np.empty(0, np.int64)
+    lengths = lengths[lengths > 0]
+    first = np.cumsum(lengths) - lengths
+    with np.errstate(over="ignore"):
+        pair = np.append(mixed(words[:-1] * _ODD + words[1:]), _TOP)
+    pair[first[1:] - 1] = _TOP  # a text's last word has no neighbour
+    at = np.arange(n) + np.repeat(np.arange(1, len(lengths) + 1) * RADIUS, lengths)  # room between texts
+    padded = np.full(n + (len(lengths) + 1) * RADIUS, _TOP)
+    padded[at] = pair
+    low = (pair < _least(padded, at, range(-RADIUS, 0))) & (pair <= _least(padded, at, range(1, RADIUS + 1)))
+    low[first] = True
+    starts = np.flatnonzero(low)
+    gaps = np.diff(np.append(starts, n))
+    pieces = -(-gaps // MAX_WORDS)
+    if (pieces > 1).any():
+        step = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        starts = np.repeat(starts, pieces) + step * MAX_WORDS
     return starts
 
 
-def paragraphs(text: str | None, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def paragraphs(words: np.ndarray, lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, lengths in words, and shingle hashes by word with the top value where none starts.
 
-    A paragraph shorter than a shingle is one shingle of its words.
+    No shingle crosses a paragraph's end; a paragraph shorter than a shingle is one shingle of its words.
     """
-    words = hashes(words_of(text))
-    starts = paragraph_starts(words)
-    lengths = np.diff(np.r_[starts, len(words)])
+    starts = paragraph_starts(words, lengths)
+    n_words = np.diff(np.append(starts, len(words)))
     runs = np.full(len(words), _TOP)
     if len(words) >= size:
         runs[: len(words) - size + 1] = shingles(words, size)
-    for i in range(1, size):  # no shingle crosses a paragraph's end
-        ends = starts + lengths - i
-        runs[ends[ends >= starts]] = _TOP
-    for k in np.flatnonzero(lengths < size):
-        runs[starts[k]] = shingles(words[starts[k] : starts[k] + lengths[k]], size)[0]
-    return starts, lengths, runs
+    room = np.repeat(starts + n_words, n_words) - np.arange(len(words))
+    runs[room < size] = _TOP
+    for width in range(1, size):
+        short = starts[n_words == width]
+        if len(short):
+            runs[short] = run_hashes([words[short + i] for i in range(width)])
+    return starts, n_words, runs
 
 
 def _names(starts: np.ndarray, runs: np.ndarray) -> np.ndarray:
@@ -91,24 +107,15 @@ def _names(starts: np.ndarray, runs: np.ndarray) -> np.ndarray:
     return np.stack([total, np.minimum.reduceat(runs, starts)], 1)
 
 
-def _minima(starts: np.ndarray, runs: np.ndarray, count: int) -> list[np.ndarray]:
-    """``count`` MinHash values per paragraph, the first under the shingles' own order."""
-    out = [np.minimum.reduceat(runs, starts)]
-    with np.errstate(over="ignore"):
-        for k in range(1, count):
-            ranked = np.where(runs == _TOP, _TOP, mixed(runs + np.uint64(k) * _ODD))
-            out.append(np.minimum.reduceat(ranked, starts))
-    return out
-
-
 def _band_keys(starts: np.ndarray, runs: np.ndarray, bands: int, rows: int) -> list[np.ndarray]:
-    minima = _minima(starts, runs, bands * rows)
+    """A key per band: its number and its MinHash values, the first under the shingles' own order."""
     keys = []
     with np.errstate(over="ignore"):
         for b in range(bands):
             key = np.full(len(starts), np.uint64(b + 1))
-            for r in range(rows):
-                key = mixed(key * _ODD + minima[b * rows + r])
+            for k in range(b * rows, (b + 1) * rows):
+                ranked = np.where(runs == _TOP, _TOP, mixed(runs + np.uint64(k) * _ODD)) if k else runs
+                key = mixed(key * _ODD + np.minimum.reduceat(ranked, starts))
             keys.append(key.view(np.int64))
     return keys
 
@@ -119,63 +126,49 @@ def _blobs(names: np.ndarray) -> pa.Array:
     return fixed.cast(pa.binary())
 
 
-def _listed(size: int, bands: int, rows: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                owner, place, length, names, keys = [], [], [], [], [[] for _ in range(bands)]
-                for i, text in enumerate(part.column(1).to_pylist()):
-                    starts, lengths, runs = paragraphs(text, size)
-                    if not len(starts):
-                        continue
-                    owner.append(np.full(len(starts), i))
-                    place.append(starts)
-                    length.append(lengths)
-                    names.append(_names(starts, runs))
-                    for column, key in zip(keys, _band_keys(starts, runs, bands, rows)):
-                        column.append(key)
-                if not owner:
-                    continue
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).take(pa.array(np.concatenate(owner))), pa.array(np.concatenate(place), pa.int32()),
-                        pa.array(np.concatenate(length), pa.int32()), _blobs(np.concatenate(names)),
-                        *(pa.array(np.concatenate(k), pa.int64()) for k in keys),
-                    ],
-                    names=["id", "start", "length", "node", *(f"k{b}" for b in range(bands))],
-                )
-
-    return run
+def _bags(starts: np.ndarray, runs: np.ndarray) -> pa.Array:
+    """The shingles of each paragraph, cut to 32 bits: they are compared with a few other paragraphs only."""
+    there = runs != _TOP
+    ends = np.append(0, np.cumsum(np.add.reduceat(there.astype(np.int32), starts))).astype(np.int32) * 4
+    data = runs[there].astype(np.uint32).tobytes()
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)])
 
 
-def _bags(size: int):
-    """Shingle sets of the wanted paragraphs of a document, once for each region that wants them."""
+def _listed(size: int, bands: int, rows: int, keyed: bool):
+    """Paragraphs of each document: with their band keys, or with their place and shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                region, node, bags = [], [], []
-                for text, wanted in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    starts, lengths, runs = paragraphs(text, size)
-                    if not len(starts):
-                        continue
-                    at_name = {x.tobytes(): k for k, x in enumerate(_names(starts, runs))}
-                    for w in wanted:
-                        k = at_name.get(w["node"])
-                        if k is not None:
-                            bag = np.unique(runs[starts[k] : starts[k] + lengths[k]])
-                            region.append(w["region"])
-                            node.append(w["node"])
-                            bags.append(bag[bag != _TOP].tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(region, pa.int64()), pa.array(node, pa.binary()), pa.array(bags, pa.binary())], names=["region", "node", "bag"]
-                )
+                texts = [words_of(t) for t in part.column(1).to_pylist()]
+                lengths = np.array([len(t) for t in texts])
+                words = hashes(list(chain.from_iterable(texts)))
+                starts, n_words, runs = paragraphs(words, lengths, size)
+                if not len(starts):
+                    continue
+                ends = np.cumsum(lengths)
+                owner = np.searchsorted(ends, starts, side="right")
+                id_ = part.column(0).take(pa.array(owner))
+                node = _blobs(_names(starts, runs))
+                if keyed:
+                    keys = _band_keys(starts, runs, bands, rows)
+                    yield pa.RecordBatch.from_arrays([id_, node, *map(pa.array, keys)], names=["id", "node", *(f"k{b}" for b in range(bands))])
+                else:
+                    place = (starts - (ends - lengths)[owner]).astype(np.int32)
+                    columns = [id_, node, pa.array(place), pa.array(n_words.astype(np.int32)), _bags(starts, runs)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["id", "node", "start", "length", "bag"])
 
     return run
 
 
+def _widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bags as sorted distinct 64-bit numbers."""
+    for batch in batches:
+        bags = [np.unique(np.frombuffer(b, np.uint32)).astype(np.uint64).tobytes() for b in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bags, pa.binary())], names=["region", "node", "bag"])
+
+
 def _number(column: Column) -> Column:
     return F.coalesce(column.cast("long"), F.lit(_LEAST_ID))
 
@@ -191,35 +184,34 @@ def repeated_paragraphs(
     """
     texts = docs.select(_number(F.col(id_col)).alias("id"), F.col(text_col).cast("string").alias("text"))
     keys = [f"k{b}" for b in range(bands)]
-    listed = texts.mapInArrow(
-        _listed(size, bands, rows), "id long, start int, length int, node binary, " + ", ".join(f"{k} long" for k in keys)
-    )
+    keyed = texts.mapInArrow(_listed(size, bands, rows, True), "id long, node binary, " + ", ".join(f"{k} long" for k in keys))
     # equal paragraphs become one row before any of them meet in a band
-    classes = listed.groupBy("node").agg(
-        F.min("id").alias("least"), F.max("id").alias("greatest"), *[F.first(k).alias(k) for k in keys]
+    classes = keyed.groupBy("node").agg(
+        (F.min("id") < F.max("id")).alias("equal"), *[F.first(k).alias(k) for k in keys]
     )
-    banded = classes.select("node", "least", "greatest", F.posexplode(F.array(*keys)).alias("band", "region"))
+    banded = classes.select("node", "equal", F.posexplode(F.array(*keys)).alias("band", "region"))
     bucket = Window.partitionBy("region")
     mixed_bucket = F.min("node").over(bucket) != F.max("node").over(bucket)
     met = stored(
-        banded.withColumn("mixed", mixed_bucket).where(F.col("mixed") | ((F.col("band") == 0) & (F.col("least") < F.col("greatest")))),
-        "met-paragraphs",
+        banded.withColumn("mixed", mixed_bucket).where("mixed OR (equal AND band = 0)").select("region", "node", "mixed"), "met-paragraphs"
+    )
+    wanted = stored(met.select("node").distinct(), "wanted-paragraphs")
+    units = stored(
+        texts.mapInArrow(_listed(size, bands, rows, False), "id long, node binary, start int, length int, bag binary").join(wanted, "node"),
+        "paragraphs",
     )
-    wanted = met.where("mixed").groupBy("least").agg(F.collect_list(F.struct("region", "node")).alias("wanted"))
     bags = stored(
-        texts.join(small_side(wanted), F.col("id") == F.col("least")).select("text", "wanted")
-        .mapInArrow(_bags(size), "region long, node binary, bag binary"),
+        met.where("mixed").select("region", "node").join(units.groupBy("node").agg(F.first("bag").alias("bag")), "node")
+        .select("region", "node", "bag").mapInArrow(_widened, "region long, node binary, bag binary"),
         "paragraph-bags",
     )
     linked = components(regions.links(bags, num, den, **options))
     grouped = linked.union(linked.select("root", "root").distinct())
-    ends = met.groupBy("node").agg(F.first("least").alias("least"), F.first("greatest").alias("greatest"))
-    rooted = ends.join(grouped.toDF("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    ends = units.groupBy("node").agg(F.min("id").alias("least"), F.max("id").alias("greatest"))
+    rooted = stored(ends.join(grouped.toDF("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted-paragraphs")
     keepers = rooted.groupBy("root").agg(F.min("least").alias("keeper"), F.max("greatest").alias("last")).where("keeper < last")
-    repeated = stored(rooted.select("node", "root").join(keepers.select("root", "keeper"), "root").select("node", "keeper"), "repeated-paragraphs")
-    return listed.select("id", "start", "length", "node").join(repeated, "node").where("id > keeper").select(
-        "id", "start", "length", "keeper"
-    )
+    repeated = stored(rooted.join(keepers, "root").where("greatest > keeper").select("node", "keeper"), "repeated-paragraphs")
+    return units.join(repeated, "node").where("id > keeper").select("id", "start", "length", "keeper")
 
 
 def repeated_passages(
