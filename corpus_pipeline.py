@@ -21,9 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that many hold; ``n_chars`` follows the text where the column is there."""
-    kept = line_dedup.without_repeated_lines(docs)
-    return kept.select(docs.columns)
+    """Documents without the lines that many hold; a document that loses all lines stays, empty."""
+    return line_dedup.without_repeated_lines(docs).select(docs.columns)
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
