@@ -14,6 +14,7 @@ from shelfsense.operators import factors
 from shelfsense.operators.factors import AlsSettings
 from shelfsense.registry import cleaning, measuring, profiling, recommending, storing  # noqa: F401
 from shelfsense.registry.core import QUERIES
+from shelfsense.sources.session import scratch
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -49,7 +50,8 @@ def main() -> None:
     jobs = {name: QUERIES[name] for name in HEADLINE} | {"als_results_study": results_study}
     for name, job in jobs.items():
         started = time.perf_counter()
-        job(spark, FOLDER).write.format("noop").mode("overwrite").save()
+        with scratch(spark):
+            job(spark, FOLDER).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 3)
         print(f"{name}: {seconds[name]} s", file=sys.stderr)
     spark.stop()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,9 +47,33 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what ``fresh_path`` and ``stored`` name inside the block, when the block ends.
+
+    Results that read such tables must have been read or written elsewhere by then.
+    """
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        hadoop = spark._jsc.hadoopConfiguration()
+        for path in paths:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(hadoop).delete(at, True)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no other run uses; ``scratch`` cleans up after a job."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for paths in _scopes:
+        paths.append(path)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from shelfsense.operators import factors
 from shelfsense.operators.factors import AlsSettings
 from shelfsense.operators.sampling import split_stratified
 from shelfsense.operators.spread import spread_join
+from shelfsense.sources import session
 from shelfsense.streaming.increments import absorb_new
 
 
@@ -69,6 +70,15 @@ def test_windows_1252_is_repaired(spark):
     assert got[1] == "Œuvre" and got[2:] == texts
 
 
+def test_a_scope_leaves_nothing_behind(spark, folder):
+    before = set(Path(session.shared_folder(spark).removeprefix("file:")).iterdir())
+    with session.scratch(spark):
+        got = entry.queries()["curated_scores"](spark, folder).count()
+    assert got > 0
+    left = set(Path(session.shared_folder(spark).removeprefix("file:")).iterdir()) - before
+    assert not {p.name for p in left if not p.name.startswith(("rdd-", "."))}
+
+
 def test_one_model_for_one_input(spark):
     triples = spark.range(3000).select(
         (F.col("id") % 60).cast("int").alias("user_id"), (F.col("id") * 7 % 50).cast("int").alias("item_id"), (1 + F.col("id") % 10).cast("float").alias("rating")
