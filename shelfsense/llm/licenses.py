@@ -1,9 +1,9 @@
 """Licences of files: TF-IDF cosine of lines to licence notices, and inheritance down the directories.
 
-Only DataFrame functions. A notice's heavy words are as many of its rarest words as leave the rest less than
-the threshold's share of its length: by Cauchy-Schwarz a line without any of them cannot reach the threshold,
-so such lines end at the scan. Only the few others are exploded and multiplied with the notices, sparse by
-sparse.
+Only DataFrame functions. A notice's heavy words are as many of the words that are rarest in the files as leave
+the rest less than the threshold's share of its length: by Cauchy-Schwarz a line without any of them cannot
+reach the threshold, so such lines end at the scan. Only the few others are exploded and multiplied with the
+notices, sparse by sparse. A first pass counts the files that hold each word of a notice.
 """
 
 from __future__ import annotations
@@ -54,27 +54,36 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(lower_ascii(text), F.lit(_WORD), F.lit(0))
 
 
-def notice_words(notices: Sequence[tuple[str, str]], threshold: float) -> tuple[list[tuple], list[str], float]:
-    """``(notice, licence, word, weight, idf)``, notices of unit length; the heavy words; an unseen word's weight.
+def notice_words(notices: Sequence[tuple[str, str]]) -> tuple[list[tuple], float]:
+    """``(notice, licence, word, weight, idf)``, notices of unit length; and an unseen word's weight.
 
     The inverse document frequency is that of the notices; a word of no notice weighs as much as the rarest.
     """
     bags = [Counter(re.findall(_WORD, text.lower())) for _, text in notices]
     spread = Counter(w for bag in bags for w in bag)
     idf = {w: math.log((len(bags) + 1) / (n + 0.5)) for w, n in spread.items()}
-    unseen = math.log((len(bags) + 1) / 0.5)
-    rows, heavy = [], set()
+    rows = []
     for i, ((licence, _), bag) in enumerate(zip(notices, bags)):
         weights = {w: n * idf[w] for w, n in bag.items()}
         length = math.sqrt(sum(v * v for v in weights.values()))
         rows += [(i, licence, w, v / length, idf[w]) for w, v in weights.items()]
-        rest = 1.0
-        for w, v in sorted(weights.items(), key=lambda wv: (-wv[1], wv[0])):
-            if rest < 0.999 * threshold**2:
-                break
-            heavy.add(w)
-            rest -= (v / length) ** 2
-    return rows, sorted(heavy), unseen
+    return rows, math.log((len(bags) + 1) / 0.5)
+
+
+def heavy_words(rows: list[tuple], files_with: dict[str, int], threshold: float) -> list[str]:
+    """Words of which a line at the threshold has one at least: each notice leaves out its commonest first."""
+    heavy: set[str] = set()
+    by_notice: dict[int, list[tuple]] = {}
+    for notice, _, word, weight, _ in rows:
+        by_notice.setdefault(notice, []).append((-files_with.get(word, 0), weight, word))
+    for words in by_notice.values():
+        rest = 0.0
+        for _, weight, word in sorted(words):
+            if rest + weight**2 < 0.999 * threshold**2:
+                rest += weight**2
+            else:
+                heavy.add(word)
+    return sorted(heavy)
 
 
 def _constants(spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -89,9 +98,13 @@ def _directory(path: Column) -> Column:
 
 def licence_lines(files: DataFrame, path_col: str, text_col: str, notices: Sequence[tuple[str, str]] = NOTICES, threshold: float = THRESHOLD) -> DataFrame:
     """``path, line_no, licence, similarity, n_words``: the best notice of every line at the threshold."""
-    rows, heavy, unseen = notice_words(notices, threshold)
+    rows, unseen = notice_words(notices)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    noted = F.array(*[F.lit(w) for w in sorted({r[2] for r in rows})])
+    holders = files.select(F.explode_outer(F.array_intersect(_words(text), noted)).alias("word")).groupBy("word").count().collect()
+    heavy = heavy_words(rows, {r["word"]: r["count"] for r in holders}, threshold)  # a row per word of a notice
     postings = F.broadcast(_constants(files.sparkSession, rows))  # the notices' words, a fixed table
-    lines = files.select(F.col(path_col).alias("path"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line_no", "line"))
+    lines = files.select(F.col(path_col).alias("path"), F.posexplode_outer(F.split(text, "\n")).alias("line_no", "line"))
     worded = lines.select("path", "line_no", _words(F.col("line")).alias("words"))
     likely = worded.where(F.arrays_overlap("words", F.array(*map(F.lit, heavy))))
     counts = likely.select("path", "line_no", F.size("words").alias("n_words"), F.explode("words").alias("word")).groupBy(

@@ -1,6 +1,7 @@
 """The registered queries against their SQL, and the pipeline's stages one after the other."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -18,7 +19,7 @@ def duck(folder):
 
 def bag(df):
     df = df[sorted(df.columns)]
-    return sorted(tuple("null" if v is None or v != v else str(int(v) if isinstance(v, float) else v) for v in row) for row in df.astype(object).itertuples(index=False))
+    return sorted(tuple("null" if pd.isna(v) else str(int(v) if isinstance(v, float) else v) for v in row) for row in df.astype(object).itertuples(index=False))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
