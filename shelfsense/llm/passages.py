@@ -23,7 +23,7 @@ from shelfsense.sources.session import stored
 
 WORDS = 5
 NUM, DEN = 75, 100
-RECALL = 0.93  # of pairs at the threshold; equal paragraphs are always found, nearer ones more often
+RECALL = 0.98  # of pairs at the threshold; equal paragraphs are always found, nearer ones more often
 RADIUS = 6
 MAX_WORDS = 64
 LEAST_RUN = 14  # words: a passage of over 50 words has at least about that many in whole paragraphs

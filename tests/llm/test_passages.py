@@ -18,6 +18,10 @@ def test_bands_keep_recall():
         assert 1 - (1 - 0.75**rows) ** bands >= recall
 
 
+def test_shipped_bands_keep_recall():
+    assert 1 - (1 - 0.75**passages.ROWS) ** passages.BANDS >= 0.98
+
+
 def test_cuts_depend_on_content_only():
     rng = random.Random(1)
     inside = words(rng, 80)
