@@ -2,8 +2,9 @@
 
 A passage may be pasted into the middle of another text, so line ends do not say where it starts. Paragraphs
 here are cut by content: one starts where the hash of two adjoining words is the smallest among its
-neighbours (or MAX_WORDS after the last start). Inside a passage the cuts fall alike wherever it stands, and
-at most RADIUS words and a piece at each end are lost.
+neighbours (or MAX_WORDS after the last start). Inside a passage the cuts fall alike wherever it stands. The
+RADIUS words and the piece at each end, and pieces with an edit, are found by going on word by word from the
+verified paragraphs, next to the keeper's text.
 """
 
 from __future__ import annotations
@@ -24,9 +25,12 @@ from shelfsense.sources.session import stored
 WORDS = 5
 NUM, DEN = 75, 100
 RECALL = 0.98  # of pairs at the threshold; equal paragraphs are always found, nearer ones more often
-RADIUS = 6
+RADIUS = 5
 MAX_WORDS = 64
-LEAST_RUN = 14  # words: a passage of over 50 words has at least about that many in whole paragraphs
+LEAST_RUN = 14  # words in whole paragraphs, as most passages of over 50 words have
+LEAST_REACH = 40  # or words in all, where edits leave fewer in whole paragraphs
+REACH = MAX_WORDS  # words followed beyond a paragraph: an equal stretch that is longer holds a whole one
+MOST_EDITED = 3  # adjoining words that an edit changes, adds or leaves out
 GAP = 16  # words: an edit inside a near copy spoils a paragraph, not the passage around it
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _TOP = np.uint64(2**64 - 1)
@@ -156,8 +160,9 @@ def _listed(size: int, bands: int, rows: int, keyed: bool):
                     yield pa.RecordBatch.from_arrays([id_, node, *map(pa.array, keys)], names=["id", "node", *(f"k{b}" for b in range(bands))])
                 else:
                     place = (starts - (ends - lengths)[owner]).astype(np.int32)
-                    columns = [id_, node, pa.array(place), pa.array(n_words.astype(np.int32)), _bags(starts, runs)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["id", "node", "start", "length", "bag"])
+                    row = part.column(2).take(pa.array(owner))
+                    columns = [id_, row, node, pa.array(place), pa.array(n_words.astype(np.int32)), _bags(starts, runs)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["id", "row", "node", "start", "length", "bag"])
 
     return run
 
@@ -169,6 +174,76 @@ def _widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bags, pa.binary())], names=["region", "node", "bag"])
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of a paragraph and of up to REACH words on both sides, each as 32 bits, for every place asked for."""
+    for batch in batches:
+        out: tuple[list, ...] = ([], [], [])
+        rows = []
+        for r, (text, starts, lengths) in enumerate(zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))):
+            words = hashes(words_of(text)).astype(np.uint32)
+            for start, length in zip(starts, lengths):
+                first = max(start - REACH, 0)
+                rows.append(r)
+                for column, value in zip(out, (start, start - first, words[first : start + length + REACH].tobytes())):
+                    column.append(value)
+        at = pa.array(rows, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(at), batch.column(1).take(at), pa.array(out[0], pa.int32()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary())],
+            names=["id", "row", "start", "head", "words"],
+        )
+
+
+_SKIPS = sorted(
+    ((x, y) for x in range(MOST_EDITED + 1) for y in range(MOST_EDITED + 1) if x + y), key=lambda s: (max(s), abs(s[0] - s[1]), s)
+)
+
+
+def _followed(a: list, i: int, b: list, j: int) -> int:
+    """How far ``a`` from ``i`` on goes with ``b`` from ``j`` on; an edit counts if WORDS equal words follow it."""
+    n, m = len(a), len(b)
+    while True:
+        while i < n and j < m and a[i] == b[j]:
+            i, j = i + 1, j + 1
+        for x, y in _SKIPS:
+            if i + x + WORDS <= n and a[i + x : i + x + WORDS] == b[j + y : j + y + WORDS]:
+                i, j = i + x, j + y
+                break
+        else:
+            return i
+
+
+def reached(a: list, first: int, end: int, b: list, kept_first: int, kept_end: int) -> int:
+    """The end of what ``a`` shares with ``b`` around and after the paragraph ``a[first:end]``, ``end`` at least.
+
+    The walk starts at the last run of WORDS words (a shorter paragraph as a whole) in both paragraphs.
+    """
+    width = min(WORDS, end - first, kept_end - kept_first)
+    places: dict[tuple, int] = {}
+    for j in range(kept_first + width, kept_end + 1):
+        places[tuple(b[j - width : j])] = j
+    for i in range(end, first + width - 1, -1):
+        j = places.get(tuple(a[i - width : i]))
+        if j is not None:
+            return max(end, _followed(a, i, b, j))
+    return end
+
+
+def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        starts, ends = [], []
+        for start, length, head, words, kept_length, kept_head, kept_words in zip(*(batch.column(i).to_pylist() for i in range(1, 8))):
+            a, b = np.frombuffer(words, np.uint32).tolist(), np.frombuffer(kept_words, np.uint32).tolist()
+            end = reached(a, head, head + length, b, kept_head, kept_head + kept_length)
+            n, m = len(a), len(b)
+            before = reached(a[::-1], n - head - length, n - head, b[::-1], m - kept_head - kept_length, m - kept_head)
+            starts.append(start - head + n - before)
+            ends.append(start - head + end)
+        start, end = np.array(starts, np.int32), np.array(ends, np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(start), pa.array(end - start), batch.column(8)], names=["id", "start", "length", "keeper"]
+        )
+
+
 def _number(column: Column) -> Column:
     return F.coalesce(column.cast("long"), F.lit(_LEAST_ID))
 
@@ -177,14 +252,15 @@ def repeated_paragraphs(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, num: int = NUM, den: int = DEN,
     bands: int = BANDS, rows: int = ROWS, **options,
 ) -> DataFrame:
-    """``(id, start, length, keeper)`` of paragraphs that repeat in a document with a smaller id.
+    """``(id, row, start, length, keeper, kept)`` of paragraphs that repeat in a document with a smaller id.
 
     Paragraphs are linked by equal or similar shingle sets (``den * shared >= num * union``, verified on the
-    sets); of each component of links the smallest document, ``keeper``, keeps its paragraphs.
+    sets); of each component of links the smallest document, ``keeper``, keeps its paragraphs. ``row`` is the
+    hash of the text, as rows may repeat an id; ``kept`` is the ``row, start, length`` of the keeper's first one.
     """
-    texts = docs.select(_number(F.col(id_col)).alias("id"), F.col(text_col).cast("string").alias("text"))
+    texts = _texts(docs, id_col, text_col)
     keys = [f"k{b}" for b in range(bands)]
-    keyed = texts.mapInArrow(_listed(size, bands, rows, True), "id long, node binary, " + ", ".join(f"{k} long" for k in keys))
+    keyed = texts.drop("row").mapInArrow(_listed(size, bands, rows, True), "id long, node binary, " + ", ".join(f"{k} long" for k in keys))
     # equal paragraphs become one row before any of them meet in a band
     classes = keyed.groupBy("node").agg(
         (F.min("id") < F.max("id")).alias("equal"), *[F.first(k).alias(k) for k in keys]
@@ -197,7 +273,7 @@ def repeated_paragraphs(
     )
     wanted = stored(met.select("node").distinct(), "wanted-paragraphs")
     units = stored(
-        texts.mapInArrow(_listed(size, bands, rows, False), "id long, node binary, start int, length int, bag binary").join(wanted, "node"),
+        texts.mapInArrow(_listed(size, bands, rows, False), "id long, row long, node binary, start int, length int, bag binary").join(wanted, "node"),
         "paragraphs",
     )
     bags = stored(
@@ -210,35 +286,91 @@ def repeated_paragraphs(
     ends = units.groupBy("node").agg(F.min("id").alias("least"), F.max("id").alias("greatest"))
     rooted = stored(ends.join(grouped.toDF("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted-paragraphs")
     keepers = rooted.groupBy("root").agg(F.min("least").alias("keeper"), F.max("greatest").alias("last")).where("keeper < last")
-    repeated = stored(rooted.join(keepers, "root").where("greatest > keeper").select("node", "keeper"), "repeated-paragraphs")
-    return units.join(repeated, "node").where("id > keeper").select("id", "start", "length", "keeper")
+    repeated = stored(rooted.join(keepers, "root").where("greatest > keeper OR least = keeper").select("node", "root", "keeper"), "repeated-paragraphs")
+    placed = stored(units.drop("bag").join(repeated, "node").drop("node"), "repeated-places")
+    kept = stored(
+        placed.where("id = keeper").groupBy("root").agg(F.min(F.struct("row", "start", "length")).alias("kept")), "kept-paragraphs"
+    )
+    return placed.where("id > keeper").join(kept, "root").drop("root")
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string").alias("text")
+    return docs.select(_number(F.col(id_col)).alias("id"), text).withColumn("row", F.xxhash64("text"))
+
+
+def extended_paragraphs(found: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, start, length, keeper)``: runs of repeated paragraphs followed word by word beyond their ends.
+
+    Only paragraphs next to one that does not repeat are followed, in texts that hold such a paragraph or keep one.
+    """
+    in_text = Window.partitionBy("id", "row").orderBy("start", "keeper")
+    at_edge = (
+        (F.coalesce(F.lag(F.col("start") + F.col("length")).over(in_text), F.lit(-1)) < F.col("start"))
+        & (F.col("start") > 0)
+    ) | (F.coalesce(F.lead("start").over(in_text), F.lit(2**30)) > F.col("start") + F.col("length"))
+    edges = stored(found.withColumn("edge", at_edge).where("edge").drop("edge"), "passage-edges")
+    places = edges.select("id", "row", "start", "length").union(edges.select("keeper", "kept.row", "kept.start", "kept.length")).distinct()
+    listed = places.groupBy("id", "row").agg(F.collect_list("start").alias("starts"), F.collect_list("length").alias("lengths"))
+    windows = stored(
+        _texts(docs, id_col, text_col).join(listed, ["id", "row"]).select("id", "row", "text", "starts", "lengths")
+        .mapInArrow(_windows, "id long, row long, start int, head int, words binary"),
+        "edge-windows",
+    )
+    # rows that repeat an id and its text have the same windows
+    once = windows.groupBy("id", "row", "start").agg(F.first("head").alias("head"), F.first("words").alias("words"))
+    kept = stored(
+        once.join(edges.select("keeper", "kept.row", "kept.start").distinct().toDF("id", "row", "start"), ["id", "row", "start"], "left_semi"),
+        "kept-windows",
+    ).toDF("keeper", "kept_row", "kept_start", "kept_head", "kept_words")
+    mine = edges.join(once, ["id", "row", "start"]).select(
+        "*", F.col("kept.row").alias("kept_row"), F.col("kept.start").alias("kept_start"), F.col("kept.length").alias("kept_length")
+    )
+    return (
+        mine.join(kept, ["keeper", "kept_row", "kept_start"])
+        .select("id", "start", "length", "head", "words", "kept_length", "kept_head", "kept_words", "keeper")
+        .mapInArrow(_extended, "id long, start int, length int, keeper long")
+    )
 
 
 def repeated_passages(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_run: int = LEAST_RUN, **options
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_run: int = LEAST_RUN,
+    least_reach: int = LEAST_REACH, **options
 ) -> DataFrame:
     """One row per document: the id, ``n_passages, n_words_repeated, repeated, passages``.
 
-    A passage is a run of adjoining repeated paragraphs; ``passages`` lists ``(start, length, keeper)`` in words
-    (between ASCII white space), with the smallest document that keeps a copy of one of its paragraphs. Passages
-    at most GAP words apart count together and must have ``least_run`` repeated words, gaps not counted and kept
-    in the text. Fewer words, such as a licence line, are left alone. Case of A to Z does
+    A passage is a run of adjoining repeated paragraphs, followed word by word to both sides as far as it goes
+    with the keeper's text; edits of up to MOST_EDITED words on the way count as repeated. ``passages`` lists
+    ``(start, length, keeper)`` in words (between ASCII white space), with the smallest document that keeps a
+    copy of one of its paragraphs. Passages at most GAP words apart count together and must have ``least_run``
+    words in whole paragraphs or ``least_reach`` words in all, gaps not counted and kept in the text. Fewer
+    words, such as a licence line, are left alone. Case of A to Z does
     not matter. Null, empty and one-word texts have no passages. Repeats inside one document are no repeats.
     Ids must be whole numbers; a null id counts as the smallest. Rows that repeat an id share one result. Other
     columns are not read; an empty table gives an empty result.
     """
-    found = repeated_paragraphs(docs, id_col, text_col, **options).distinct()
-    through = Window.partitionBy("id").orderBy("start")
+    paragraphs_found = stored(repeated_paragraphs(docs, id_col, text_col, **options).distinct(), "found-paragraphs")
+    longer = extended_paragraphs(paragraphs_found, docs, id_col, text_col).withColumn("whole", F.lit(0))
+    found = paragraphs_found.select("id", "start", "length", "keeper").distinct().withColumn("whole", F.col("length")).union(longer)
+    through = Window.partitionBy("id").orderBy("start", "length", "keeper", "whole")
     before = F.max(F.col("start") + F.col("length")).over(through.rowsBetween(Window.unboundedPreceding, -1))
     apart = F.coalesce(F.col("start") - before, F.lit(2**30))
-    runs = (
-        found.withColumn("apart", apart)
-        .withColumn("passage", F.sum((F.col("apart") > 0).cast("int")).over(through))
-        .withColumn("place", F.sum((F.col("apart") > GAP).cast("int")).over(through))
-        .withColumn("words_here", F.sum("length").over(Window.partitionBy("id", "place")))
-        .where(F.col("words_here") >= least_run)
+    joined = (
+        found.withColumn("passage", F.sum((apart > 0).cast("int")).over(through))
         .groupBy("id", "passage")
-        .agg(F.min("start").alias("start"), F.sum("length").cast("int").alias("length"), F.min("keeper").alias("keeper"))
+        .agg(
+            F.min("start").alias("start"), (F.max(F.col("start") + F.col("length")) - F.min("start")).alias("length"),
+            F.min("keeper").alias("keeper"), F.sum("whole").alias("whole"),
+        )
+    )
+    one_by_one = Window.partitionBy("id").orderBy("start")
+    apart = F.coalesce(F.col("start") - F.lag(F.col("start") + F.col("length")).over(one_by_one), F.lit(2**30))
+    here = Window.partitionBy("id", "place")
+    runs = (
+        joined.withColumn("place", F.sum((apart > GAP).cast("int")).over(one_by_one))
+        .withColumn("whole_here", F.sum("whole").over(here))
+        .withColumn("words_here", F.sum("length").over(here))
+        .where((F.col("whole_here") >= least_run) | (F.col("words_here") >= least_reach))
         .groupBy("id")
         .agg(
             F.count(F.lit(1)).alias("n_passages"), F.sum("length").alias("n_words_repeated"),

@@ -104,3 +104,30 @@ def test_odd_rows(spark):
 def test_cut(spark):
     df = spark.createDataFrame([("a b\nc  d e", [(1, 2, 0)]), (None, [])], "text string, p array<struct<start:int,length:int,keeper:long>>")
     assert [r[0] for r in df.select(cut_passages(F.col("text"), F.col("p"))).collect()] == ["a d e", None]
+
+
+def test_short_near_copies_are_found_with_their_edges(spark):
+    """Copies of 51 to 60 words with one word changed, against the place where they were planted."""
+    rng = random.Random(6)
+    rows, planted = [], {}
+    for k in range(100):
+        passage = words(rng, 51 + k % 10)
+        rows.append((len(rows), " ".join(words(rng, 30) + passage + words(rng, 30))))
+        if k % 2:
+            passage[rng.randrange(len(passage))] = "changed"
+        left = rng.randint(0, 60)
+        planted[len(rows)] = (left, len(passage), k % 2)
+        rows.append((len(rows), " ".join(words(rng, left) + passage + words(rng, 25))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["passages"] for r in repeated_passages(docs).collect() if r["repeated"]}
+    assert set(got) <= set(planted)
+    for d, (left, n, edited) in planted.items():
+        if not edited:  # a similar paragraph may bring a few words more
+            (p,) = got[d]
+            assert left - 4 <= p["start"] <= left and left + n <= p["start"] + p["length"] <= left + n + 4 and p["keeper"] == d - 1
+    near = [d for d, (_, _, edited) in planted.items() if edited]
+    assert sum(d in got for d in near) >= 0.96 * len(near)
+    for d in set(near) & set(got):
+        left, n, _ = planted[d]
+        assert all(left - 4 <= p["start"] and p["start"] + p["length"] <= left + n + 4 for p in got[d])
+        assert sum(p["length"] for p in got[d]) >= n - passages.WORDS - 1
