@@ -88,6 +88,10 @@ def test_exchange_never_lowers_the_likelihood():
         classes = moved
 
 
+def test_shipped_rounds_offer_each_symbol_five_moves():
+    assert brown.ROUNDS >= 10
+
+
 @pytest.fixture(scope="module")
 def letters(spark):
     text = " ".join(["you are an idiot and a stupid loser what a clown pathetic trash good morning book feel cool see the sun"] * 30)
