@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm import brown, decontaminate, exact_dedup, jaccard, licenses, line_dedup, packing, passages, toxicity, warc
+from shelfsense.llm import (
+    brown, decontaminate, exact_dedup, infill, jaccard, licenses, line_dedup, negatives, packing, passages, pieces,
+    toxicity, warc,
+)
 from shelfsense.llm.common import table
 from shelfsense.sources.session import fresh_path
 
@@ -151,3 +154,64 @@ def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     files = docs.select(F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text")
     found = licenses.file_licences(files)
     return found.select(F.element_at(F.split("path", "/"), -1).cast("long").alias("doc_id"), "*")
+
+
+@query()
+def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path(pieces.MODEL)
+    encoded = pieces.encode(table(spark, folder, "documents"), model)
+    return pieces.decode(encoded, model).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+@query("""
+    WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+               FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+               AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+              CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+          FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+    p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+    SELECT anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+        CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10
+""")
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings").withColumn("label", label)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+@query(r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id) AS h,
+                   regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents),
+    c AS (SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS x,
+              CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS y, CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 AS spm
+          FROM d),
+    f AS (SELECT *, array_to_string(u[1:least(x, y)], '') AS p, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS m,
+              array_to_string(u[greatest(x, y) + 1:n], '') AS s,
+              CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+                   WHEN spm THEN 'spm' ELSE 'psm' END AS form
+          FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+               ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+        sha256(t) AS restored_sha256
+    FROM f
+""")
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    cut = infill.fill_in_middle(table(spark, folder, "documents"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(), 256).alias("restored_sha256"),
+    )
