@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import codecs
 import re
-from collections.abc import Iterator
+from array import array
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-_REMEMBERED = 300_000
+_REMEMBERED = 500_000
 _LONGEST_REMEMBERED = 64
 _ROWS = 256
 
@@ -74,10 +76,7 @@ class Vocabulary:
         chars = {c for piece in self.text.values() for c in piece}
         self.known = frozenset(chars)
         self.runs = re.compile(f"[{''.join(map(re.escape, sorted(chars)))}]+|.", re.DOTALL)
-        # No piece spans a border between a chunk and the next, so chunks are encoded one by one.
-        spaced = any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in self.text.values())
-        line = "" if "\n" in chars else "\n"
-        self.chunks = re.compile("(?s:.+)" if spaced else f"{SPACE}*[^{SPACE}{line}]+|{SPACE}+" + ("|\n" if line else ""))
+        self.chunks = _chunk_pattern(self.text.values())
         self.apart: dict[int, bool] = {}
         self.remembered: dict[str, bytes] = {}
         self._surfaces(model.pieces, model.trainer_spec.unk_surface)
@@ -152,28 +151,40 @@ class Vocabulary:
 
     def _run(self, chars: str) -> list[int]:
         """Ids of a run of known characters."""
-        last = [-1] * (len(chars) + 1)
+        last, apart = [-1] * len(chars), self.apart
         for end, (token, size) in self.automaton.iter(chars):
-            if last[end + 1] < 0:
-                start = end + 1 - size
-                if not start or self.stay_apart(last[start], token):
-                    last[end + 1] = token
-        ids, at = [], len(chars)
-        while at:
-            ids.append(last[at])
-            at -= self.size[last[at]]
+            if last[end] < 0:
+                start = end - size
+                if start < 0:
+                    last[end] = token
+                else:
+                    fits = apart.get(last[start] << 32 | token)
+                    if fits or fits is None and self.stay_apart(last[start], token):
+                        last[end] = token
+        ids, at, size = [], len(chars) - 1, self.size
+        while at >= 0:
+            token = last[at]
+            ids.append(token)
+            at -= size[token]
         ids.reverse()
         return ids
 
     def _chunk(self, chunk: str) -> bytes:
-        ids: list[int] = []
-        for run in [chunk] if self.known.issuperset(chunk) else self.runs.findall(chunk):
+        if self.known.issuperset(chunk):
+            ids = self._run(chunk)
+            return array("i", ids if max(ids) < len(self.lengths) else self._as_bytes(ids)).tobytes()
+        ids = []
+        for run in self.runs.findall(chunk):
             if run[0] in self.known:
-                for token in self._run(run):
-                    ids += [token] if token < len(self.lengths) else [self.byte[b] for b in self.text[token].encode()]
+                ids += self._as_bytes(self._run(run))
             else:
                 ids += [self.byte[b] for b in run.encode("utf-8", "surrogatepass")]
-        return np.array(ids, np.int32).tobytes()
+        return array("i", ids).tobytes()
+
+    def _as_bytes(self, ids: list[int]) -> Iterator[int]:
+        """Ids with those of bytes for characters that are no pieces."""
+        for token in ids:
+            yield from [token] if token < len(self.lengths) else [self.byte[b] for b in self.text[token].encode()]
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as 32-bit numbers."""
@@ -236,6 +247,32 @@ class Vocabulary:
         return texts.cast(pa.string())
 
 
+def _chunk_pattern(pieces: Iterable[str]) -> re.Pattern:
+    """Cuts a text where no piece can lie across.
+
+    Characters that stand side by side in some piece are of one group; a group with what it leads to is one, too. A chunk
+    is spaces and then characters of one group. If pieces hold spaces after other characters, all is one chunk.
+    """
+    group: dict[str, str] = {}
+
+    def first(char: str) -> str:
+        while group.setdefault(char, char) != char:
+            char = group[char]
+        return char
+
+    for piece in pieces:
+        body = piece.lstrip(SPACE)
+        if SPACE in body:
+            return re.compile(".+", re.DOTALL)
+        for a, b in zip(body, body[1:]):
+            group[first(a)] = first(b)
+    members = defaultdict(list)
+    for char in group:
+        members[first(char)].append(char)
+    runs = "".join(f"[{''.join(map(re.escape, sorted(m)))}]+|" for m in sorted(members.values(), key=len, reverse=True))
+    return re.compile(f"{SPACE}*(?:{runs}[^{SPACE}])|{SPACE}+", re.DOTALL)
+
+
 _loaded: dict[str, Vocabulary] = {}
 
 
