@@ -22,6 +22,8 @@ TRAIN_FRACTIONS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 REGULARISATIONS = (1.0, 0.1, 0.01, 0.001)
 TUTORIAL_RANKS = (4, 8, 12)
 
+RATINGS_PER_SQUARED_BLOCK = 5_000
+
 
 @dataclass(frozen=True)
 class AlsSettings:
@@ -32,7 +34,17 @@ class AlsSettings:
     reg: float = 0.1
     nonnegative: bool = True
     seed: int = 5
-    blocks: int = 10  # starting factors are drawn per block, so this is part of the model and never read from the session
+    blocks: int | None = None  # None: by the number of ratings, see blocks_for
+
+
+def blocks_for(n_ratings: int) -> int:
+    """User and item blocks for so many ratings.
+
+    ALS draws its starting factors per block, so the number is part of the model: it follows from the data and is never
+    read from the session. Every block of one side sends to every block of the other, so blocks grow with the
+    root of the ratings: 11 for 600,000, 447 for a thousand million.
+    """
+    return max(1, round((n_ratings / RATINGS_PER_SQUARED_BLOCK) ** 0.5))
 
 
 def fit(triples: DataFrame, settings: AlsSettings = AlsSettings()) -> ALSModel:
@@ -41,14 +53,15 @@ def fit(triples: DataFrame, settings: AlsSettings = AlsSettings()) -> ALSModel:
     The factor tables are checkpointed to the shared folder every few iterations.
     """
     shared_folder(triples.sparkSession)
+    blocks = settings.blocks or blocks_for(triples.count())
     als = ALS(
         rank=settings.rank,
         maxIter=settings.max_iter,
         regParam=settings.reg,
         nonnegative=settings.nonnegative,
         seed=settings.seed,
-        numUserBlocks=settings.blocks,
-        numItemBlocks=settings.blocks,
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
         checkpointInterval=5,
         userCol="user_id",
         itemCol="item_id",

@@ -64,10 +64,8 @@ def _is_one_file(spark, path):
     return bool(files) and files[0][0].rstrip("/").endswith(path.rsplit("/", 1)[1])
 
 
-@query(with_views("purchases") + """SELECT user_tag, item_id, sum(units) AS bottles, count(*) AS n_rows,
-    min(date) AS first_date, max(date) AS last_date FROM purchases GROUP BY user_tag, item_id""")
-def incremental_totals(spark, folder):
-    """Order lines taken in as a file stream, in batches, against orders and customers at rest."""
+def order_line_stream(spark, folder):
+    """Order lines as a file stream, and what makes purchases of a batch: orders and customers at rest."""
     orders = logical.table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.col("o_orderdate").cast("date").alias("date")
     )
@@ -87,4 +85,12 @@ def incremental_totals(spark, folder):
     arrivals = stream.select(
         "l_orderkey", F.col("l_partkey").alias("item_id"), F.col("l_quantity").alias("units")
     )
+    return arrivals, to_purchases
+
+
+@query(with_views("purchases") + """SELECT user_tag, item_id, sum(units) AS bottles, count(*) AS n_rows,
+    min(date) AS first_date, max(date) AS last_date FROM purchases GROUP BY user_tag, item_id""")
+def incremental_totals(spark, folder):
+    """Order lines taken in as a file stream, in batches, against orders and customers at rest."""
+    arrivals, to_purchases = order_line_stream(spark, folder)
     return absorb_new(arrivals, to_purchases, fresh_path(spark, "totals"), fresh_path(spark, "progress"))
