@@ -14,18 +14,16 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfsense.llm import sparse_fit
 from shelfsense.llm.brown import held_out
 from shelfsense.sources.session import stored
 
 MAX_SAMPLE = 20_000  # labelled rows for the classifier, chosen by hash
 THRESHOLD = 0.3
 MIN_DOCS = 3  # of a feature in the sample
-MAX_FEATURES = 1 << 17
 PENALTY = 2e-4
 _REMEMBERED = 300_000
 
@@ -240,15 +238,9 @@ def train(
     none = (math.log((toxic + 0.5) / (n - toxic + 0.5)), {})
     if not 0 < toxic < n or listed.where(F.size("features") > 0).isEmpty():
         return sent, none
-    counter = CountVectorizer(inputCol="features", outputCol="vector", binary=True, minDF=min(MIN_DOCS, n), vocabSize=MAX_FEATURES)
-    counted = counter.fit(listed)
-    if not counted.vocabulary:
-        return sent, none
-    fit = LogisticRegression(
-        featuresCol="vector", labelCol="label", maxIter=60, regParam=penalty, elasticNetParam=1.0, standardization=False
-    ).fit(counted.transform(listed).select("vector", "label"))
-    weights = fit.coefficients.toArray()
-    return sent, (float(fit.intercept), {counted.vocabulary[i]: float(weights[i]) for i in np.flatnonzero(weights)})
+    rows = stored(sparse_fit.fit(listed, penalty, min(MIN_DOCS, n)), "weights").collect()  # one row per weight that is not zero
+    weights = {r["feature"]: r["weight"] for r in rows}
+    return sent, (weights.pop(None), weights)
 
 
 def score_toxicity(
