@@ -18,7 +18,7 @@ SEQUENCE = 2048
 END_ID = 1
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
-_KNOWN_PIECES = 400_000
+_KNOWN_PIECES = 200_000
 
 # Texts of these characters are split alike by both tokenizer libraries; any other text goes to the slower one.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-ſ–—‘-„…€]*")
@@ -90,6 +90,8 @@ def _tokens_of(json_path: str, ranks_path: str):
                     [part.column(0), pa.array([task] * len(n), pa.int32()), pa.array(starts, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
                     names=["id", "task", "before", "n", "ids"],
                 )
+        for *_, known in _loaded.values():
+            known.clear()  # the worker lives on and may serve other stages
 
     return run
 

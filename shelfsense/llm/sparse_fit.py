@@ -106,11 +106,14 @@ def _fitted(penalty: float, least: int, iterations: int):
         columns = number[codes]
         rows = np.repeat(np.arange(len(lengths)), lengths)[columns >= 0]
         columns = columns[columns >= 0]
+        del coded, codes, number
         bias, weights = fit_lists(columns, np.bincount(rows, minlength=len(lengths)), labels, len(chosen), penalty, iterations)
         used = np.flatnonzero(weights)
         features = pc.take(words, pa.array(chosen[used]))
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.string()), pa.array([bias])], names=["feature", "weight"])
         yield pa.RecordBatch.from_arrays([features, pa.array(weights[used])], names=["feature", "weight"])
+        del words, features, rows, columns
+        pa.default_memory_pool().release_unused()  # the worker lives on and may serve other stages
 
     return run
 

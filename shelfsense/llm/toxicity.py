@@ -25,7 +25,7 @@ MAX_SAMPLE = 20_000  # labelled rows for the classifier, chosen by hash
 THRESHOLD = 0.3
 MIN_DOCS = 3  # of a feature in the sample
 PENALTY = 2e-4
-_REMEMBERED = 300_000
+_REMEMBERED = 100_000
 
 # Letters that a digit or sign commonly stands for.
 DISGUISES = {
