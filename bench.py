@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfsense.operators import factors
 from shelfsense.operators.factors import AlsSettings
-from shelfsense.registry import cleaning, measuring, profiling, recommending, serving, storing  # noqa: F401
+from shelfsense.registry import cleaning, layouts, measuring, profiling, recommending, serving, storing  # noqa: F401
 from shelfsense.registry.core import QUERIES
 from shelfsense.sources.session import scratch
 

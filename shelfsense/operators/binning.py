@@ -75,6 +75,28 @@ def equal_width_histogram(df: DataFrame, value: str, lo: float, hi: float, n_bin
     )
 
 
+def histogram_with_outside(df: DataFrame, value: str, lo: float, hi: float, n_bins: int) -> DataFrame:
+    """``(bin, n)`` of all rows: equal-width bins of ``[lo, hi]``, bin -1 below, bin ``n_bins`` above, null for null."""
+    at, width = F.col(value), (hi - lo) / n_bins
+    inside = F.least(F.floor((at - lo) / width), F.lit(n_bins - 1))
+    place = F.when(at < lo, -1).when(at > hi, n_bins).when(at.isNotNull(), inside).cast("int")
+    return df.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def histogram_of_data(df: DataFrame, value: str, n_bins: int) -> DataFrame:
+    """``(bin, bin_lo, n)``: equal-width bins from the smallest to the largest value, which is in the last bin.
+
+    Equal values are all in bin 0; nulls are in none. The range is found in the same job, from the values' counts.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    ends = counts.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"))).scalar()
+    at = counts.withColumn("_ends", ends)
+    lo, reach = F.col("_ends.lo"), F.col("_ends.hi") - F.col("_ends.lo")
+    place = F.when(reach == 0, 0).otherwise(F.least(F.floor((F.col("_v") - lo) * n_bins / F.nullif(reach, F.lit(0.0))), F.lit(n_bins - 1)))
+    bins = at.groupBy(place.cast("int").alias("bin"), (lo + place * reach / n_bins).alias("bin_lo"))
+    return bins.agg(F.sum("_n").alias("n"))
+
+
 def ceil_histogram(df: DataFrame, value: str) -> DataFrame:
     """Counts per value rounded up."""
     return df.groupBy(F.ceil(value).alias("value")).agg(F.count(F.lit(1)).alias("n"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from shelfsense.operators.accuracy import activity_rates, auc, roc_points
 from shelfsense.operators.factors import AlsSettings, train_and_test
@@ -30,3 +33,14 @@ def user_report(
     if klass is not None:
         own = own.where(own.klass == klass)
     return own.distinct().orderBy("item_id").limit(n)
+
+
+def user_reports(predictions: DataFrame, products: DataFrame, classes: Sequence[str] | None = None, n: int = 10) -> DataFrame:
+    """``user_report`` of every user: the first ``n`` items by id, with ``rank`` from 1.
+
+    Each user's rows are at most one per item of the catalogue; Spark cuts them to ``n`` before they are shuffled.
+    """
+    listed = products if classes is None else products.where(F.col("klass").isin(list(classes)))
+    rows = predictions.join(listed, "item_id").distinct()
+    place = F.row_number().over(Window.partitionBy("user_tag").orderBy("item_id"))
+    return rows.withColumn("rank", place).where(F.col("rank") <= n)

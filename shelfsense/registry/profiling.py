@@ -30,12 +30,14 @@ def purchases_by_user(spark, folder):
 @query(with_views("purchases") + """SELECT max(units) AS max_units, count(*) AS n_purchases,
     count(DISTINCT user_tag) AS n_users, count(DISTINCT item_id) AS n_items FROM purchases""")
 def global_counts(spark, folder):
-    return logical.purchases(spark, folder).agg(
-        F.max("units").alias("max_units"),
-        F.count(F.lit(1)).alias("n_purchases"),
-        F.countDistinct("user_tag").alias("n_users"),
-        F.countDistinct("item_id").alias("n_items"),
-    )
+    rows = logical.purchases(spark, folder)
+    users = rows.groupBy("user_tag").agg(F.max("units").alias("max_units"), F.count(F.lit(1)).alias("n"))
+    items = rows.select("item_id").where("item_id IS NOT NULL").distinct().agg(F.count(F.lit(1))).scalar()
+    return users.agg(
+        F.max("max_units").alias("max_units"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_purchases"),
+        F.count("user_tag").alias("n_users"),
+    ).withColumn("n_items", items)
 
 
 @query(with_views("purchases") + """SELECT count(*) FILTER (t <= 1000) AS n_users,

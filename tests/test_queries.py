@@ -17,7 +17,7 @@ PYTHON_NODES = {
 }
 ROWS_ONLY = {
     "als_fit_rmse", "als_predict", "als_learning_curve", "als_regularization_scan", "als_grid_search",
-    "als_rank_search", "als_recommend", "als_roc_auc", "lists_from_purchases",
+    "als_rank_search", "als_recommend", "als_roc_auc", "lists_from_purchases", "lists_for_new_users", "saved_model_lists",
 }
 
 

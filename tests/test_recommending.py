@@ -68,8 +68,8 @@ def brute_force(users, items, bought, threshold):
 
 
 @pytest.mark.parametrize("threshold", [-1.0, 2.0, 3.2])
-@pytest.mark.parametrize("block_items, group_users", [(10_000, 10_000), (17, 5)])
-def test_scorer_agrees_with_brute_force(spark, threshold, block_items, group_users):
+@pytest.mark.parametrize("block_items, group_users, group_bought", [(10_000, 10_000, 10_000), (17, 5, 10_000), (50, 10_000, 40)])
+def test_scorer_agrees_with_brute_force(spark, threshold, block_items, group_users, group_bought):
     rng = np.random.default_rng(7)
     # halves give exact sums and many ties
     users = {u: rng.integers(0, 4, 3) / 2 for u in range(40)}
@@ -82,7 +82,7 @@ def test_scorer_agrees_with_brute_force(spark, threshold, block_items, group_use
             "item_id long, features array<double>, category string, klass string",
         ),
         spark.createDataFrame(list(bought), "user_id long, item_id long"),
-        threshold, CLASSES, block_items=block_items, group_users=group_users,
+        threshold, CLASSES, block_items=block_items, group_users=group_users, group_bought=group_bought,
     )
     got = defaultdict(list)
     for r in ranking.curate(best, CLASSES, user="user_id").orderBy("user_id", "rank").collect():
