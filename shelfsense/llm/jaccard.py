@@ -5,7 +5,8 @@ though, share no shingle and are at distance 1 from each other and from every pi
 So only sets that can be near are brought into one region. Two sets with similarity t share at least l of the
 ``n - ceil(t n) + l`` first shingles under any common order; l is a tenth of a set here, so one shared passage
 is seldom enough. The order is by how often shingles of a hash cell occur, rare cells first; the cells' counts
-are a table of fixed size over all documents, and errors in it cost time, never links. The few sets that pass
+are a table of fixed size over all documents, and errors in it cost time, never links. Shingles of hot cells count
+as shared without being brought together, so no key holds more than a bounded share of the rows. The few sets that pass
 are looked at whole: a set needs t n shingles that others of them have too, and only its rarest
 ``n - ceil(t n) + 1``, now by exact counts, join it with others. Sets so joined are a first region, and pivots,
 windows and recursion do the rest. Equal sets are one class.
@@ -33,6 +34,7 @@ WORDS = 5
 NUM, DEN = 75, 100  # linked if DEN * |intersection| >= NUM * |union|
 _CELL_BITS = 20
 _CHUNKS = 64
+HOT_CELL = 64
 
 
 def _texts(batches: Iterator[pa.RecordBatch], column: int, rows: int = 512) -> Iterator[tuple[pa.RecordBatch, list]]:
@@ -87,50 +89,66 @@ def _added(rows: pa.Table) -> pa.Table:
     })
 
 
-def _cell_levels(counted: DataFrame) -> np.ndarray:
-    """For each of 2^20 hash cells the number of binary digits of its shingles' document count: 1 MB."""
+def _cell_levels(counted: DataFrame) -> tuple[np.ndarray, int]:
+    """For each of 2^20 hash cells the number of binary digits of its shingles' document count: 1 MB.
+
+    Also the level above which a cell is hot: it has over HOT_CELL times the rows of a mean cell.
+    """
     schema = "chunk int, task int, counts binary"
     part = F.pmod("task", F.lit(256))
     counted = counted.withColumn("part", part).groupBy("chunk", "part").applyInArrow(_added, schema)
     rows = counted.groupBy("chunk").applyInArrow(_added, schema).collect()  # _CHUNKS rows of fixed size
     if not rows:
-        return np.zeros(1 << _CELL_BITS, np.uint8)
+        return np.zeros(1 << _CELL_BITS, np.uint8), 64
     total = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in sorted(rows)])
-    return np.ceil(np.log2(total + 1)).astype(np.uint8)
+    hot = np.ceil(np.log2(max(HOT_CELL * total.mean(), HOT_CELL) + 1))
+    return np.ceil(np.log2(total + 1)).astype(np.uint8), int(hot)
 
 
 def _prefixes(levels, words: int, num: int, den: int):
     shift, low = np.uint64(64 - _CELL_BITS), np.uint64(8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = levels.value.astype(np.uint64) << np.uint64(56)
+        level, hot = levels.value
         for part, texts in _texts(batches, 1):
-            digests, prefixes = [], []
-            for text in texts:
+            at, digests, prefixes, in_hot = [], [], [], []
+            for i, text in enumerate(texts):
                 bag = shingle_set(text, words)
-                digests.append(_digest(bag))
-                rarity = level[(bag >> shift).astype(np.int64)] | (bag >> low)
+                digest = _digest(bag)
+                cell = level[(bag >> shift).astype(np.int64)]
+                rarity = cell.astype(np.uint64) << np.uint64(56) | (bag >> low)
                 needed = len(bag) + (-num * len(bag) // den) + _least_shared(len(bag))  # n - ceil(t n) + l
-                prefixes.append(bag[np.argsort(rarity, kind="stable")[:needed]].view(np.int64))
+                first = np.argsort(rarity, kind="stable")[:needed]
+                cold = first[cell[first] <= hot]
+                rows = [(bag[cold].view(np.int64), 0)]
+                if len(cold) < len(first):
+                    rows.append((np.zeros(1, np.int64), len(first) - len(cold)))
+                for prefix, n_hot in rows:
+                    at.append(i)
+                    digests.append(digest)
+                    prefixes.append(prefix)
+                    in_hot.append(n_hot)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.cumsum([0, *map(len, prefixes)]), pa.int32()), pa.array(np.concatenate(prefixes), pa.int64())
             )
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(digests, pa.binary()), lists], names=["id", "digest", "prefix"])
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(pa.array(at, pa.int64())), pa.array(digests, pa.binary()), lists, pa.array(in_hot, pa.int64())], names=["id", "digest", "prefix", "in_hot"]
+            )
 
     return run
 
 
 def _with_bags(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in _texts(batches, 2):
+        for part, texts in _texts(batches, 1):
             rows = []
-            for short, digest, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts):
+            for digest, text in zip(part.column(0).to_pylist(), texts):
                 bag = shingle_set(text, words)
                 if _digest(bag) == digest:  # else another row with the same id
-                    rows.append((short, digest, bag.tobytes()))
-            short, node, bags = zip(*rows) if rows else ([], [], [])
+                    rows.append((digest, bag.tobytes()))
+            node, bags = zip(*rows) if rows else ([], [])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(short, pa.int64()), pa.array(node, pa.binary()), pa.array(bags, pa.binary())], names=["short", "node", "bag"]
+                [pa.array(node, pa.binary()), pa.array(bags, pa.binary())], names=["node", "bag"]
             )
 
     return run
@@ -142,22 +160,30 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs = batch.column(1).to_pylist()
         ends = np.cumsum([0, *(len(b) // 8 for b in blobs)])
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(blobs), np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["short", "shingles"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["node", "shingles"])
 
 
 def _first_regions(bags: DataFrame, num: int, den: int) -> DataFrame:
-    """``short, region`` of sets that share a necessary shingle under the order of exact counts, through others or not."""
-    shingles = bags.select("short", "bag").dropDuplicates(["short"]).mapInArrow(_listed, "short long, shingles array<long>")
-    shingles = shingles.select("short", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    one, own = Window.partitionBy("shingle"), Window.partitionBy("short")
-    shared = shingles.withColumn("sets", F.count(F.lit(1)).over(one)).where("sets > 1")
-    ranked = shared.withColumn("live", F.count(F.lit(1)).over(own)).withColumn(
+    """``node, region`` of sets that share a necessary shingle under the order of exact counts, through others or not.
+
+    A shingle may be in a third of the sets, so its rows are never brought together: counts and smallest nodes are
+    aggregated, and joined back with hot shingles dealt out.
+    """
+    listed = bags.select("node", "bag").dropDuplicates(["node"]).mapInArrow(_listed, "node binary, shingles array<long>")
+    shingles = listed.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    sets = stored(shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"), "shared-shingles")
+    own = Window.partitionBy("node")
+    ranked = spread_join(shingles, sets, ["shingle"]).withColumn("live", F.count(F.lit(1)).over(own)).withColumn(
         "rank", F.row_number().over(own.orderBy("sets", "shingle")) + F.col("n") - F.col("live")
     )
-    needed = ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.lit(num) * F.col("n") / den) + 1).select("short", "shingle")
-    heads = needed.withColumn("head", F.min("short").over(one)).where("short <> head").select("short", "head").distinct()
-    joined = stored(components(heads, "short", "head"), "first-regions")
-    return joined.select(F.col("node").alias("short"), F.col("root").alias("region")).union(joined.select("root", "root").distinct())
+    rarest = F.col("rank") <= F.col("n") - F.ceil(F.lit(num) * F.col("n") / den) + 1
+    needed = stored(ranked.where(rarest).select("node", "shingle"), "necessary-shingles")
+    first = stored(needed.groupBy("shingle").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last"), "heads")
+    heads = spread_join(needed, first.select("shingle", "head"), ["shingle"]).where("node <> head").select("node", "head").distinct()
+    joined = stored(components(heads, "node", "head"), "first-regions")
+    # a region is named by a hash; two that share a name are looked at as one
+    found = joined.select("node", "root").union(joined.select("root", "root").distinct())
+    return found.select("node", F.xxhash64("root").alias("region"))
 
 
 def similar_groups(
@@ -184,28 +210,30 @@ def similar_groups(
 
     # a row of the set that has the smallest id stands for all equal sets
     copies = spread_join(filled, named.drop("n"), ["digest"]).where("id <> first_id").select("id", "digest")
+    # a shingle of a hot cell is taken as shared without a look at the others: it costs time, never links
     needed = (
-        texts.mapInArrow(_prefixes(levels, words, num, den), f"id {kind}, digest binary, prefix array<long>")
+        texts.mapInArrow(_prefixes(levels, words, num, den), f"id {kind}, digest binary, prefix array<long>, in_hot long")
         .join(small_side(copies), ["id", "digest"], "left_anti")
-        .select("digest", F.explode("prefix").alias("shingle"))
-        .select(F.xxhash64("digest").alias("short"), "shingle")
+        .select("digest", F.explode("prefix").alias("shingle"), "in_hot")
+        .select(F.xxhash64("digest").alias("short"), "shingle", "in_hot")
+        .withColumn("shingle", F.when(F.col("in_hot") > 0, F.col("short")).otherwise(F.col("shingle")))
     )
-    one = Window.partitionBy("shingle")
+    one = Window.partitionBy("shingle")  # of at most HOT_CELL times the rows of a mean cell
 
     ends = needed.withColumn("head", F.min("short").over(one)).withColumn("last", F.max("short").over(one))
-    common = ends.where("head < last").select("short")
+    common = ends.where("in_hot > 0 OR head < last").select("short", F.greatest("in_hot", F.lit(1)).alias("shared"))
     size = named.groupBy(F.xxhash64("digest").alias("short")).agg(F.min("n").alias("n"))
     smallest_partner = F.ceil(F.lit(num) * F.col("n") / den)
     least = F.floor(smallest_partner / 10) + 1  # as _least_shared
-    counts = common.groupBy("short").agg(F.count(F.lit(1)).alias("shared"))
+    counts = common.groupBy("short").agg(F.sum("shared").alias("shared"))
     enough = counts.join(size, "short").where(F.col("shared") >= least).select("short")
-    wanted = named.withColumn("short", F.xxhash64("digest")).join(enough, "short").select("short", "digest", "first_id")
+    wanted = named.withColumn("short", F.xxhash64("digest")).join(enough, "short").select("digest", "first_id")
     bags = stored(
-        texts.join(small_side(wanted), F.col("id").eqNullSafe(F.col("first_id"))).select("short", "digest", "text")
-        .mapInArrow(_with_bags(words), "short long, node binary, bag binary"),
+        texts.join(small_side(wanted), F.col("id").eqNullSafe(F.col("first_id"))).select("digest", "text")
+        .mapInArrow(_with_bags(words), "node binary, bag binary"),
         "bags",
     )
-    near = stored(bags.join(small_side(_first_regions(bags, num, den)), "short").select("region", "node", "bag"), "region-bags")
+    near = stored(bags.join(small_side(_first_regions(bags, num, den)), "node").select("region", "node", "bag"), "region-bags")
     linked = components(regions.links(near, num, den, **options))
     grouped = linked.select(F.col("node").alias("digest"), "root").union(
         linked.select(F.col("root").alias("digest"), "root").distinct()

@@ -4,7 +4,7 @@ Input rows are ``(region, node, bag)``: a bag holds the sorted distinct 64-bit h
 joins any two nodes of a region whose sets are similar enough, through a chain of such links; it is a forest
 per task and not every link, so a group of n near copies gives about n rows.
 
-A region with too much work for one task is cut. A few of its sets become pivots, none linked to another; every
+A region of more than a handful of sets is cut. A few of its sets become pivots, none linked to another; every
 set measures its distance to each, in tasks that hold a part of the region and all its pivots. With links up to
 distance e, a set within BALL of a pivot is a home row in the cell of its nearest pivot. Any partner of it lies,
 by the triangle inequality, within BALL + e of that pivot and within 2e of the border,
@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from shelfsense.llm.common import hashes, mixed
 from shelfsense.sources.session import cut_lineage, stored
 
-# Work of one task, in hashes; a set counts ROW_WORK more than it has.
+# Work of one task, in hashes; a set counts ROW_WORK more than it has. Regions above PART_WORK are parted by pivots.
 LEAF_WORK = 4_000_000
+PART_WORK = 8_192
 ROW_WORK = 512
 PIVOTS = 8
 LEVELS = 4
@@ -247,7 +248,8 @@ def _compare(rows: DataFrame, num: int, den: int, leaf_work: int) -> DataFrame:
 
 
 def links(
-    rows: DataFrame, num: int = 75, den: int = 100, leaf_work: int = LEAF_WORK, pivots: int = PIVOTS, levels: int = LEVELS
+    rows: DataFrame, num: int = 75, den: int = 100, leaf_work: int = LEAF_WORK, pivots: int = PIVOTS, levels: int = LEVELS,
+    part_work: int = PART_WORK,
 ) -> DataFrame:
     """``(a, b)``: links that connect all nodes of a region joined by sets with ``den * shared >= num * union``.
 
@@ -255,10 +257,10 @@ def links(
     dropped, however large a region is.
     """
     current = rows.select("region", "node", F.lit(True).alias("home"), "bag")
-    found = []
+    found, part_work = [], min(part_work, leaf_work)
     before = None
     for level in range(levels):
-        large = cut_lineage(_sizes(current).where((F.col("at_home") > leaf_work / 2) & (F.col("work") > leaf_work)))
+        large = cut_lineage(_sizes(current).where((F.col("at_home") > part_work / 2) & (F.col("work") > part_work)))
         at_home = large.agg(F.sum("at_home")).first()[0] or 0.0
         if not at_home or (before is not None and at_home > 0.9 * before):
             break  # the pivots no longer part anything

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from shelfsense.llm import regions
+from shelfsense.llm import jaccard, regions
 from shelfsense.llm.common import components
 from shelfsense.llm.jaccard import one_of_each_group, similar_groups
 from shelfsense.sources.session import stored
@@ -66,6 +66,14 @@ def test_groups_equal_brute_force(spark, leaf_work):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
 
 
+@pytest.mark.parametrize("hot_cell", [0, 1e-5])
+def test_shingles_of_hot_cells_lose_no_link(spark, monkeypatch, hot_cell):
+    monkeypatch.setattr(jaccard, "HOT_CELL", hot_cell)
+    rows = list(enumerate(corpus(8, 90)))
+    got = jaccard.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
+
+
 @pytest.mark.parametrize("leaf_work, levels", [(6_000, 4), (6_000, 0), (12_000, 2)])
 def test_cut_regions_lose_no_link(spark, leaf_work, levels):
     rng = np.random.default_rng(5)
