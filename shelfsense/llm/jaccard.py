@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from shelfsense.llm import regions
 from shelfsense.llm.common import components, shingle_set
 from shelfsense.operators.spread import spread_join
-from shelfsense.sources.session import small_side, stored
+from shelfsense.sources.session import small_side, stored, tune
 
 WORDS = 5
 NUM, DEN = 75, 100  # linked if DEN * |intersection| >= NUM * |union|
@@ -160,30 +160,30 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs = batch.column(1).to_pylist()
         ends = np.cumsum([0, *(len(b) // 8 for b in blobs)])
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(blobs), np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["node", "shingles"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["short", "shingles"])
 
 
 def _first_regions(bags: DataFrame, num: int, den: int) -> DataFrame:
-    """``node, region`` of sets that share a necessary shingle under the order of exact counts, through others or not.
+    """``short, region`` of sets that share a necessary shingle under the order of exact counts, through others or not.
 
-    A shingle may be in a third of the sets, so its rows are never brought together: counts and smallest nodes are
-    aggregated, and joined back with hot shingles dealt out.
+    A shingle may be in a third of the sets, so its rows are never brought together: counts and smallest names are
+    aggregated and stored, so that both sides of the joins back come straight from a shuffle and a hot shingle is cut
+    at run time. Names are 64-bit hashes; of two sets with one name neither is dropped, they only look at more.
     """
-    listed = bags.select("node", "bag").dropDuplicates(["node"]).mapInArrow(_listed, "node binary, shingles array<long>")
-    shingles = listed.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    listed = bags.dropDuplicates(["node"]).select(F.xxhash64("node").alias("short"), "bag").mapInArrow(_listed, "short long, shingles array<long>")
+    shingles = listed.select("short", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     sets = stored(shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"), "shared-shingles")
-    own = Window.partitionBy("node")
-    ranked = spread_join(shingles, sets, ["shingle"]).withColumn("live", F.count(F.lit(1)).over(own)).withColumn(
+    own = Window.partitionBy("short")
+    ranked = shingles.join(sets, "shingle").withColumn("live", F.count(F.lit(1)).over(own)).withColumn(
         "rank", F.row_number().over(own.orderBy("sets", "shingle")) + F.col("n") - F.col("live")
     )
     rarest = F.col("rank") <= F.col("n") - F.ceil(F.lit(num) * F.col("n") / den) + 1
-    needed = stored(ranked.where(rarest).select("node", "shingle"), "necessary-shingles")
-    first = stored(needed.groupBy("shingle").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last"), "heads")
-    heads = spread_join(needed, first.select("shingle", "head"), ["shingle"]).where("node <> head").select("node", "head").distinct()
-    joined = stored(components(heads, "node", "head"), "first-regions")
-    # a region is named by a hash; two that share a name are looked at as one
-    found = joined.select("node", "root").union(joined.select("root", "root").distinct())
-    return found.select("node", F.xxhash64("root").alias("region"))
+    needed = stored(ranked.where(rarest).select("short", "shingle"), "necessary-shingles")
+    first = needed.groupBy("shingle").agg(F.min("short").alias("head"), F.max("short").alias("last")).where("head < last")
+    first = stored(first.select("shingle", "head"), "heads")
+    heads = needed.join(first, "shingle").where("short <> head").select("short", "head").distinct()
+    joined = stored(components(heads, "short", "head"), "first-regions")
+    return joined.select(F.col("node").alias("short"), F.col("root").alias("region")).union(joined.select("root", "root").distinct())
 
 
 def similar_groups(
@@ -197,7 +197,7 @@ def similar_groups(
     null ids are passed over when the smallest id is sought and stay null where nothing else is linked. Other
     columns are not read; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
+    spark = tune(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
     described = stored(
@@ -233,7 +233,7 @@ def similar_groups(
         .mapInArrow(_with_bags(words), "node binary, bag binary"),
         "bags",
     )
-    near = stored(bags.join(small_side(_first_regions(bags, num, den)), "node").select("region", "node", "bag"), "region-bags")
+    near = stored(bags.withColumn("short", F.xxhash64("node")).join(small_side(_first_regions(bags, num, den)), "short").select("region", "node", "bag"), "region-bags")
     linked = components(regions.links(near, num, den, **options))
     grouped = linked.select(F.col("node").alias("digest"), "root").union(
         linked.select(F.col("root").alias("digest"), "root").distinct()
