@@ -31,7 +31,7 @@ from shelfsense.sources.session import cut_lineage, stored
 
 # Work of one task, in hashes; a set counts ROW_WORK more than it has. Regions above PART_WORK are parted by pivots.
 LEAF_WORK = 4_000_000
-PART_WORK = 8_192
+PART_WORK = 16_384
 ROW_WORK = 512
 PIVOTS = 8
 LEVELS = 4
