@@ -156,8 +156,11 @@ _RECORD = "file string, start long, part long, whole boolean, bytes binary"
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records from the chain's entry into each block on; what crosses a block's end comes out in parts."""
-    places, block, open_at, ends, parts = _Places(), None, None, None, []
+    """Records from the chain's entry into each block on; what crosses a block's end comes out in parts.
+
+    A row without a value stands before the segments of its block and holds the chain's entry for them.
+    """
+    places, block, open_at, ends, parts, chain = _Places(), None, None, None, [], None
     names = ["file", "start", "part", "whole", "bytes"]
     for batch in batches:
         rows: list[tuple] = []
@@ -168,6 +171,11 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows.append((block[0], open_at, first_part, ends is not None and first_part == open_at and first_part + len(text) >= ends, text))
 
         for file, start, value, base, entry, before in zip(*(c.to_pylist() for c in batch.columns)):
+            if value is None:
+                chain = base, entry, before
+                continue
+            if chain is not None:
+                base, entry, before = chain
             if (file, start) != block:
                 close()
                 block, parts, open_at, ends, first_part = (file, start), [], before, None, base
@@ -248,19 +256,29 @@ def _blocks(segments: DataFrame) -> DataFrame:
     )
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+def _entered(segments: DataFrame, blocks: DataFrame, max_broadcast: int) -> DataFrame:
+    """Segments in scan order with their block's row: sent to all tasks while there are few, else sorted in front of them."""
+    if blocks.count() <= max_broadcast:
+        return segments.join(F.broadcast(blocks), ["file", "block"]).select("file", "block", "value", "base", "entry", "before")
+    placed = segments.withColumn("place", F.monotonically_increasing_id())  # a scan block is read by one task
+    heads = blocks.withColumn("place", F.lit(-1).cast("long"))
+    rows = placed.unionByName(heads, allowMissingColumns=True).repartition("file", "block").sortWithinPartitions("file", "block", "place")
+    return rows.select("file", "block", "value", "base", "entry", "before")
+
+
+def read_archives(spark: SparkSession, path: str, max_broadcast: int = SMALL_SIDE_ROWS) -> DataFrame:
     """Records of the WARC files in a folder: ``page, url, type, refers, digest, size, payload``.
 
     Only records on the chain from the start of their file count; the payload is null for revisits. A file
-    that does not start with a record has none. The chain's entries go to all tasks, one row per scan block.
+    that does not start with a record has none. The chain's entries, one row per scan block, go to all tasks up to
+    ``max_broadcast`` rows; beyond, segments and entries are shuffled by block and sorted.
     """
     lines = spark.read.option("lineSep", MAGIC).text(path)
     segments = lines.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value")
     )
     blocks = stored(_blocks(segments), "blocks")
-    entered = segments.join(F.broadcast(blocks), ["file", "block"]).select("file", "block", "value", "base", "entry", "before")
-    walked = entered.mapInArrow(_walk, _RECORD)
+    walked = _entered(segments, blocks, max_broadcast).mapInArrow(_walk, _RECORD)
     whole = walked.where("whole").select("bytes")
     # records cut by a block's end inside their payload, which happens only where a payload holds magic
     cut = (

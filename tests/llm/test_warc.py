@@ -30,8 +30,11 @@ def test_round_trip_rejects_magic_in_payloads(spark, block):
     spark.conf.set("spark.sql.files.maxPartitionBytes", block)
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        got = warc.archived_pages(pages, fresh_path(spark, "warc"))
+        path = fresh_path(spark, "warc")
+        got = warc.archived_pages(pages, path)
         assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
+        sent, shuffled = (sorted(map(str, warc.read_archives(spark, path, n).collect())) for n in (10**6, 0))
+        assert sent == shuffled
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
