@@ -1,16 +1,18 @@
 """A class-based language model: exchange clustering, class transitions and word emissions.
 
 The words whose share of all training tokens is at least ALPHABET_SHARE are symbols of their own, so there are
-at most 1 / ALPHABET_SHARE; every other word is seen through the symbol of its ending. Exchange clustering puts
-all symbols into classes so that class bigrams explain the text best. The probability of a token is
+at most 1 / ALPHABET_SHARE; every other word is first seen through the symbol of its ending. Exchange clustering
+puts all symbols into classes so that class bigrams explain the text best. Then every other word seen
+LEAST_SEEN times gets a class of its own: that in which its occurrences, next to the classes before and after
+them, are likeliest. Only rarer words stay with their endings. The probability of a token is
 
     P(class | class before) * P(symbol | class) * P(word | symbol),
 
-where the last factor is 1 for a word that is its own symbol, else its count among the words of that ending,
+where the last factor is 1 for a word with a class of its own, else its count among the words of that ending,
 with one count set aside for words never seen. Each factor sums to 1, so the whole does.
 
-Counts are taken over all training texts, and only two tables of proven size go to the tasks: the symbols, and
-the counts of words with a share of at least COUNTED_SHARE. Counts of rarer words are joined by word.
+Counts and classes are taken over all training texts, and only two tables of proven size go to the tasks: the
+symbols, and the words with a share of at least COUNTED_SHARE. Rarer words get count and class by a join.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from shelfsense.sources.session import stored
 
 ALPHABET_SHARE = 1e-4
 COUNTED_SHARE = 1e-6
+LEAST_SEEN = 5
 ENDINGS = 512
 ENDING_BYTES = 3
 CLASSES = 64
@@ -199,63 +202,200 @@ def exchange(pairs: DataFrame, size: int, totals: np.ndarray, rounds: int = ROUN
     return classes
 
 
+# --- classes of all other words ---------------------------------------------------------------------------------
+
+def _sides(alphabet, classes: np.ndarray):
+    """``word, ending, sides``: for words that are no symbols, the classes before and after, a byte each, by turns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = alphabet.value
+        end = known.size - 1
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                chains, names = [np.array([end])], [np.zeros(1, np.uint64)]
+                for text in batch.column(0).slice(at, 4096).to_pylist():
+                    words = words_of(text)
+                    hashed = hashes(words)
+                    chains += [known.symbols(words, hashed), [end]]
+                    names += [hashed, np.zeros(1, np.uint64)]
+                chain, name = np.concatenate(chains), np.concatenate(names)
+                klass = classes[chain].astype(np.uint8)
+                here = np.flatnonzero((chain >= len(known.words)) & (chain != end))
+                here = here[np.argsort(name[here], kind="stable")]
+                word, first = np.unique(name[here], return_index=True)
+                cuts = pa.py_buffer(2 * np.append(first, len(here)).astype(np.int32))
+                sides = pa.py_buffer(np.stack([klass[here - 1], klass[here + 1]], 1).tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(word.view(np.int64)), pa.array(chain[here[first]], pa.int32()),
+                     pa.Array.from_buffers(pa.binary(), len(word), [None, cuts, sides])],
+                    names=["word", "ending", "sides"],
+                )
+
+    return run
+
+
+def _evidence(counts: np.ndarray) -> np.ndarray:
+    """What one occurrence after (first half) and before (second half) each class says for every class, as a logarithm."""
+    transition, weight = _transitions(counts), counts.sum(0) + 1
+    out = np.concatenate([transition - np.log10(weight), transition.T])
+    out[:, 0] = -1e9  # the end of texts alone
+    return out
+
+
+def _classify(evidence: np.ndarray, least: int):
+    """``word, ending, n, class`` from rows in order of words; class -1 below ``least`` occurrences."""
+    width = 2 * CLASSES
+
+    def rows(word: np.ndarray, ending: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        n = counts[:, :CLASSES].sum(1)
+        klass = np.where(n >= least, (counts @ evidence).argmax(1), -1)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(word, pa.int64()), pa.array(ending, pa.int32()), pa.array(n, pa.int64()), pa.array(klass, pa.int32())],
+            names=["word", "ending", "n", "class"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # the word whose rows may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            word, ending, sides = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
+            new = np.append(True, word[1:] != word[:-1])
+            place = np.repeat(np.cumsum(new) - 1, [len(x) // 2 for x in sides]) * width
+            side = np.frombuffer(b"".join(sides), np.uint8)
+            cell = np.concatenate([place + side[::2], place + CLASSES + side[1::2]])
+            word, ending = word[new], ending[new]
+            counts = np.bincount(cell, minlength=len(word) * width).reshape(-1, width)
+            if last is not None and last[0][0] == word[0]:
+                counts[0] += last[2][0]
+            elif last is not None:
+                yield rows(*last)
+            yield rows(word[:-1], ending[:-1], counts[:-1])
+            last = word[-1:], ending[-1:], counts[-1:]
+        if last is not None:
+            yield rows(*last)
+
+    return run
+
+
 # --- the model ----------------------------------------------------------------------------------------------
 
 @dataclass(frozen=True)
 class Model:
+    """Logarithms to base 10. ``words`` are those sent to all tasks, in order of their hashes."""
+
     alphabet: Alphabet
     classes: np.ndarray
-    transition: np.ndarray  # log10 P(class | class before)
-    emission: np.ndarray  # log10 P(symbol | class)
-    spread: np.ndarray  # log10 (count + 1) of each symbol
-    words: np.ndarray  # hashes of the counted words, in order
+    emission: np.ndarray  # P(symbol | class)
+    spread: np.ndarray  # count + 1 of each symbol
+    norm: np.ndarray  # what the counts in each class are divided by
+    words: np.ndarray
     counts: np.ndarray
+    own: np.ndarray  # the class of each word, -1 if it goes by its ending
 
 
-def _model(alphabet: Alphabet, classes: np.ndarray, totals: np.ndarray, counts: np.ndarray, words: np.ndarray, n: np.ndarray) -> Model:
+def _transitions(counts: np.ndarray) -> np.ndarray:
     share = (counts.sum(0) + 1) / (counts.sum() + CLASSES)
-    transition = (counts + _BLEND * share) / (counts.sum(1, keepdims=True) + _BLEND)
-    sizes, weight = np.bincount(classes, minlength=CLASSES), np.bincount(classes, totals, CLASSES)
-    emission = (totals + _PRIOR) / (weight + _PRIOR * sizes)[classes]
-    return Model(alphabet, classes, np.log10(transition), np.log10(emission), np.log10(totals + 1), words, n)
+    return np.log10((counts + _BLEND * share) / (counts.sum(1, keepdims=True) + _BLEND))
+
 
+def _model(
+    alphabet: Alphabet, classes: np.ndarray, totals: np.ndarray, weight: np.ndarray, kinds: np.ndarray,
+    words: np.ndarray, counts: np.ndarray, own: np.ndarray,
+) -> Model:
+    """``totals`` counts the symbols without words of a class of their own; ``weight`` and ``kinds`` count those by class."""
+    weight = weight + np.bincount(classes, totals, CLASSES)
+    norm = np.log10(weight + _PRIOR * (kinds + np.bincount(classes, minlength=CLASSES)))
+    emission = np.log10(totals + _PRIOR) - norm[classes]
+    return Model(alphabet, classes, emission, np.log10(totals + 1), norm, words, counts, own)
+
+
+def _tag(model, n_ends: int):
+    """Per text: its classes, a byte each, and what can be told without the words that are not sent along (``rare``)."""
 
-def _score(model, n_ends: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         end, first_ending = m.alphabet.size - 1, len(m.alphabet.words)
+        never = m.emission - m.spread  # of a word not seen before, by its ending
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 columns: tuple[list, ...] = ([], [], [], [], [])
+                rare: tuple[list, ...] = ([], [], [])
                 for text in part.column(2).to_pylist():
                     words = words_of(text)
                     hashed = hashes(words)
-                    symbol = np.append(m.alphabet.symbols(words, hashed), end)
+                    symbol = m.alphabet.symbols(words, hashed)
                     klass = m.classes[symbol]
-                    score = m.transition[np.r_[m.classes[end], klass[:-1]], klass].sum() + m.emission[symbol].sum()
                     place = np.searchsorted(m.words, hashed)
-                    known = place < len(m.words)
-                    known[known] = m.words[place[known]] == hashed[known]
-                    c = m.counts[place[known]]
-                    by_ending = symbol[:-1] >= first_ending
-                    score += np.log10(c[by_ending[known]]).sum() - m.spread[symbol[:-1][by_ending]].sum()
-                    base = np.log10(c + 1).sum() + np.log10(n_ends + 1)
-                    values = (len(symbol), int(known.sum()) + (n_ends > 0), float(base), float(score), hashed[~known].view(np.int64))
+                    sent = place < len(m.words)
+                    sent[sent] = m.words[place[sent]] == hashed[sent]
+                    c, own = np.zeros(len(words)), np.full(len(words), -1)
+                    c[sent], own[sent] = m.counts[place[sent]], m.own[place[sent]]
+                    classed, left = own >= 0, np.flatnonzero(~sent)
+                    by_ending = sent & ~classed & (symbol >= first_ending)
+                    klass[classed] = own[classed]
+                    emitted = (
+                        (np.log10(c[classed] + _PRIOR) - m.norm[own[classed]]).sum() + m.emission[symbol[symbol < first_ending]].sum()
+                        + (never[symbol[by_ending]] + np.log10(c[by_ending])).sum() + m.emission[end]
+                    )
+                    base = np.log10(c[sent] + 1).sum() + np.log10(n_ends + 1)
+                    values = (len(words) + 1, int(sent.sum()) + (n_ends > 0), float(base), float(emitted), klass.astype(np.uint8).tobytes() + b"\0")
                     for column, value in zip(columns, values):
                         column.append(value)
-                rare = pa.ListArray.from_arrays(
-                    pa.array(np.cumsum([0, *map(len, columns[4])]), pa.int32()), pa.array(np.concatenate(columns[4]), pa.int64())
+                    for column, value in zip(rare, (left, hashed[left].view(np.int64), never[symbol[left]])):
+                        column.append(value)
+                struct = pa.StructArray.from_arrays(
+                    [pa.array(np.concatenate(x), t) for x, t in zip(rare, (pa.int64(), pa.int64(), pa.float64()))], names=["place", "word", "never"]
                 )
+                cuts = pa.array(np.cumsum([0, *map(len, rare[0])]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-                     pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.float64()), rare],
-                    names=["row", "id", "n_tokens", "n_known", "base", "score", "rare"],
+                     pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.float64()), pa.array(columns[4], pa.binary()),
+                     pa.ListArray.from_arrays(cuts, struct)],
+                    names=["row", "id", "n_tokens", "n_known", "base", "emitted", "classes", "rare"],
                 )
 
     return run
 
 
+def _corrected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Put the classes found by the join, ``place * CLASSES + class``, into the chains; the other columns stay."""
+    for batch in batches:
+        chains = []
+        for chain, found in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if found.is_valid and len(found):
+                klass = np.frombuffer(chain, np.uint8).copy()
+                at = found.values.to_numpy()
+                klass[at // CLASSES] = at % CLASSES
+                chain = klass.tobytes()
+            chains.append(chain)
+        columns = [pa.array(chains, pa.binary()), *batch.columns[2:]]
+        yield pa.RecordBatch.from_arrays(columns, names=["classes", *batch.schema.names[2:]])
+
+
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``cell, n``: class bigrams of chains, each from an end to an end."""
+    total = np.zeros(CLASSES * CLASSES, np.int64)
+    for batch in batches:
+        chain = np.frombuffer(b"\0" + b"".join(batch.column(0).to_pylist()), np.uint8).astype(np.int64)
+        total += np.bincount(chain[:-1] * CLASSES + chain[1:], minlength=len(total))
+    cell = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell])], names=["cell", "n"])
+
+
+def _walk(transition: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            steps = []
+            for chain in batch.column(0).to_pylist():
+                klass = np.frombuffer(b"\0" + chain, np.uint8)
+                steps.append(float(transition[klass[:-1], klass[1:]].sum()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(steps, pa.float64())], names=[*batch.schema.names[1:], "steps"])
+
+    return run
+
+
 def _numpy(df: DataFrame, *columns: str) -> list[np.ndarray]:
     rows = df.toArrow()
     return [rows.column(c).to_numpy() for c in columns]
@@ -263,7 +403,7 @@ def _numpy(df: DataFrame, *columns: str) -> list[np.ndarray]:
 
 def score_texts(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS,
-    alphabet_share: float = ALPHABET_SHARE, counted_share: float = COUNTED_SHARE,
+    alphabet_share: float = ALPHABET_SHARE, counted_share: float = COUNTED_SHARE, least_seen: int = LEAST_SEEN,
 ) -> DataFrame:
     """Train on the documents that are not held out, and score all.
 
@@ -283,50 +423,86 @@ def score_texts(
     )
     n_words, n_kinds = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     n_tokens, n_kinds = n_words + n_ends, n_kinds + (n_ends > 0)
-    counted = vocabulary.where(F.col("n") >= max(1.0, counted_share * n_tokens))
-    words, n = _numpy(counted, "word", "n")  # at most 1 / COUNTED_SHARE rows
-    words = words.view(np.uint64)
-    order = np.argsort(words)
-    words, n = words[order], n[order].astype(np.float64)
-    alphabet = Alphabet(words[n >= alphabet_share * n_tokens])
+    words, n = _numpy(vocabulary.where(F.col("n") >= max(1.0, alphabet_share * n_tokens)), "word", "n")  # at most 1 / alphabet_share rows
+    order = np.argsort(words.view(np.uint64))
+    alphabet = Alphabet(words.view(np.uint64)[order])
 
     sent = spark.sparkContext.broadcast(alphabet)
     pairs = stored(training.mapInArrow(_count_pairs(sent), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "bigrams")
     second, total = _numpy(pairs.groupBy((F.col("pair") % alphabet.size).alias("s")).agg(F.sum("n").alias("n")), "s", "n")
     totals = np.bincount(second, total, alphabet.size) if len(second) else np.zeros(alphabet.size)
     classes = exchange(pairs, alphabet.size, totals, rounds)
-    model = _model(alphabet, classes, totals, _class_counts(pairs, classes, alphabet.size), words, n)
 
-    scored = stored(
+    # all other words; none has a share of alphabet_share, so no word is hot
+    evidence = _evidence(_class_counts(pairs, classes, alphabet.size))
+    lexicon = stored(
+        training.mapInArrow(_sides(sent, classes), "word long, ending int, sides binary")
+        .repartition("word").sortWithinPartitions("word")
+        .mapInArrow(_classify(evidence, least_seen), "word long, ending int, n long, class int"),
+        "lexicon",
+    )
+    classed = lexicon.where("class >= 0")
+    ending, by_ending = _numpy(classed.groupBy("ending").agg(F.sum("n").alias("n")), "ending", "n")  # a row per ending
+    totals[ending] -= by_ending
+    klass, by_class, kinds = _numpy(
+        classed.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")), "class", "n", "kinds"
+    )
+    weight, many = np.zeros(CLASSES), np.zeros(CLASSES)
+    weight[klass], many[klass] = by_class, kinds
+    cut = max(1.0, counted_share * n_tokens)
+    others, others_n, own = _numpy(lexicon.where(F.col("n") >= cut), "word", "n", "class")  # at most 1 / counted_share rows
+    words, n = np.concatenate([words, others]).view(np.uint64), np.concatenate([n, others_n]).astype(np.float64)
+    own = np.concatenate([np.full(len(order), -1), own])
+    order = np.argsort(words)
+    model = _model(alphabet, classes, totals, weight, many, words[order], n[order], own[order])
+
+    tagged = stored(
         texts.select(F.monotonically_increasing_id().alias("row"), "id", "text").mapInArrow(
-            _score(spark.sparkContext.broadcast(model), n_ends),
-            f"row long, id {kind}, n_tokens long, n_known long, base double, score double, rare array<long>",
+            _tag(spark.sparkContext.broadcast(model), n_ends),
+            f"row long, id {kind}, n_tokens long, n_known long, base double, emitted double, classes binary, "
+            "rare array<struct<place: long, word: long, never: double>>",
         ),
-        "scores",
+        "tagged-texts",
     )
-    # words too rare to be sent along: count them by a join, add up by document
+    # words too rare to be sent along: their counts and classes by a join, back to the texts by row
     seen = F.coalesce("n", F.lit(0))
+    norms = F.array(*[F.lit(float(x)) for x in model.norm])
+    emitted = F.when(F.col("class") >= 0, F.log10(seen + _PRIOR) - F.get(norms, F.col("class"))).otherwise(
+        F.col("never") + F.log10(F.greatest(seen, F.lit(1)))
+    )
     rare = (
-        scored.select("row", F.explode("rare").alias("word"))
-        .join(vocabulary.where(F.col("n") < max(1.0, counted_share * n_tokens)), "word", "left")
+        tagged.select("row", F.inline("rare")).join(lexicon.where(F.col("n") < cut).drop("ending"), "word", "left")
         .groupBy("row")
         .agg(
-            F.sum(F.log10(seen + 1)).alias("rare_base"), F.sum(F.log10(F.greatest(seen, F.lit(1)))).alias("rare_score"),
-            F.count_if(seen > 0).alias("rare_known"),
+            F.sum(F.log10(seen + 1)).alias("rare_base"), F.sum(emitted).alias("rare_emitted"), F.count_if(seen > 0).alias("rare_known"),
+            F.collect_list(F.when(F.col("class") >= 0, F.col("place") * CLASSES + F.col("class"))).alias("found"),
         )
     )
     zero = F.lit(0.0)
-    per_token = float(np.log10(n_tokens + n_kinds + 1))
-    return (
-        scored.drop("rare").join(rare, "row", "left")
+    whole = stored(
+        tagged.drop("rare").join(rare, "row", "left")
         .select(
-            F.col("id").alias(id_col),
-            held_out(F.col("id")).alias("held_out"),
-            "n_tokens",
+            "classes", "found", "id", "n_tokens",
             (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-            F.lit(n_tokens).cast("long").alias("train_tokens"),
-            (F.col("base") + F.coalesce("rare_base", zero) - F.col("n_tokens") * per_token).alias("base_score"),
-            (F.col("score") + F.coalesce("rare_score", zero)).alias("score"),
+            (F.col("base") + F.coalesce("rare_base", zero)).alias("base"),
+            (F.col("emitted") + F.coalesce("rare_emitted", zero)).alias("emitted"),
         )
-        .withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+        .mapInArrow(_corrected, f"classes binary, id {kind}, n_tokens long, n_known long, base double, emitted double"),
+        "classed-texts",
     )
+    steps = whole.where(~held_out(F.col("id"))).select("classes").mapInArrow(_steps, "cell long, n long")
+    cell, n = _numpy(steps.groupBy("cell").agg(F.sum("n").alias("n")), "cell", "n")  # at most CLASSES^2 rows
+    counts = np.bincount(cell, n, CLASSES * CLASSES) if len(cell) else np.zeros(CLASSES * CLASSES)
+    transition = _transitions(counts.reshape(CLASSES, CLASSES))
+
+    per_token = float(np.log10(n_tokens + n_kinds + 1))
+    walked = whole.mapInArrow(_walk(transition), f"id {kind}, n_tokens long, n_known long, base double, emitted double, steps double")
+    return walked.select(
+        F.col("id").alias(id_col),
+        held_out(F.col("id")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(n_tokens).cast("long").alias("train_tokens"),
+        (F.col("base") - F.col("n_tokens") * per_token).alias("base_score"),
+        (F.col("emitted") + F.col("steps")).alias("score"),
+    ).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

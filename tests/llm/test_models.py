@@ -58,9 +58,106 @@ def test_probabilities_sum_to_one():
     totals = rng.integers(0, 50, size).astype(float)
     classes = np.append(1 + np.arange(size - 1) % (brown.CLASSES - 1), 0)
     counts = rng.integers(0, 9, (brown.CLASSES, brown.CLASSES)).astype(float)
-    m = brown._model(alphabet, classes, totals, counts, alphabet.words, totals[:10])
-    assert np.allclose((10**m.transition).sum(1), 1)
-    assert np.allclose(np.bincount(classes, 10**m.emission, brown.CLASSES), 1)
+    weight, kinds = rng.integers(5, 90, brown.CLASSES).astype(float), np.full(brown.CLASSES, 2.0)
+    m = brown._model(alphabet, classes, totals, weight, kinds, alphabet.words, totals[:10], np.full(10, -1))
+    assert np.allclose((10 ** brown._transitions(counts)).sum(1), 1)
+    own_words = (weight + kinds * brown._PRIOR) / 10**m.norm  # two words of each class, of weight occurrences in all
+    assert np.allclose(np.bincount(classes, 10**m.emission, brown.CLASSES) + own_words, 1)
+
+
+def plain_scores(rows, lexicon_class, alphabet, classes, least):
+    """Scores of all rows from the classes of symbols and words alone, by loops and dictionaries."""
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    split = lambda t: (t or "").encode().lower().split()
+    symbol = lambda w: int(alphabet.symbols([w], brown.hashes([w]))[0])
+    first, end = len(alphabet.words), alphabet.size - 1
+    train = [split(t) for i, t in rows if not held(i)]
+    count = Counter(w for ws in train for w in ws)
+    of_own = lambda w: symbol(w) >= first and count[w] >= least
+    klass = lambda w: lexicon_class[w] if of_own(w) else int(classes[symbol(w)])
+    total, weight, steps = Counter({end: len(train)}), Counter(), Counter()
+    for w, n in count.items():
+        weight[klass(w)] += n
+        total[None if of_own(w) else symbol(w)] += n
+    weight[0] = len(train)
+    kinds = Counter(int(c) for c in classes) + Counter(lexicon_class[w] for w in count if of_own(w))
+    for ws in train:
+        chain = [0, *map(klass, ws), 0]
+        steps.update(zip(chain, chain[1:]))
+    k, everything = brown.CLASSES, sum(steps.values())
+    into, out_of = Counter(), Counter()
+    for (a, b), n in steps.items():
+        out_of[a] += n
+        into[b] += n
+
+    def step(a, b):
+        return math.log10((steps[a, b] + k * (into[b] + 1) / (everything + k)) / (out_of[a] + k))
+
+    def emit(c, n):
+        return math.log10((n + brown._PRIOR) / (weight[c] + brown._PRIOR * kinds[c]))
+
+    scores = []
+    for _, t in rows:
+        score, before = 0.0, 0
+        for w in split(t):
+            c = klass(w)
+            score += step(before, c)
+            if of_own(w):
+                score += emit(c, count[w])
+            else:
+                score += emit(c, total[symbol(w)])
+                if symbol(w) >= first:
+                    score += math.log10(max(count[w], 1) / (total[symbol(w)] + 1))
+            before = c
+        scores.append(score + step(before, 0) + emit(0, total[end]))
+    return scores
+
+
+@pytest.mark.parametrize("counted_share", [0.0, 1e-3, 1.0])
+def test_score_equals_a_plain_evaluation(spark, grammar, counted_share, monkeypatch):
+    """Few symbols, so that most words get their class by their neighbours, sent along or joined; one text is long."""
+    rng = random.Random(5)
+    rare = [f"rare{k}{chr(97 + k % 7)}" for k in range(90)]
+    rows = grammar + [(1000 + i, " ".join(rng.choices(rare, k=rng.randint(0, 6)) + ["noun1a", "verb2a"])) for i in range(60)]
+    rows += [(2000, " ".join(rng.choices(rare + ["noun3b", "unheard"], k=30_000)))]
+    caught = {}
+    exchange, evidence, stored = brown.exchange, brown._evidence, brown.stored
+
+    def keep(name, value):
+        caught[name] = value
+        return value
+
+    monkeypatch.setattr(brown, "exchange", lambda pairs, *a: keep("classes", exchange(pairs, *a)))
+    monkeypatch.setattr(brown, "_evidence", lambda counts: keep("evidence", evidence(counts)))
+    monkeypatch.setattr(brown, "stored", lambda df, name: keep(name, stored(df, name)))
+    docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, row int").repartition(3)
+    got = brown.score_texts(docs, rounds=4, alphabet_share=0.02, counted_share=counted_share).collect()
+    words = {w for _, t in rows for w in (t or "").encode().lower().split()}
+    by_hash = {int(brown.hashes([w]).view(np.int64)[0]): w for w in words}
+    lexicon = {by_hash[r["word"]]: r for r in caught["lexicon"].collect()}
+    assert sum(r["class"] >= 0 for r in lexicon.values()) > 40 and any(r["class"] < 0 for r in lexicon.values())
+    train = [(t or "").encode().lower().split() for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
+    count = Counter(w for ws in train for w in ws)
+    least = 0.02 * (sum(count.values()) + len(train))
+    alphabet = brown.Alphabet(np.sort(brown.hashes([w for w, n in count.items() if n >= least])))
+    classes = caught["classes"]
+    symbol = lambda w: int(alphabet.symbols([w], brown.hashes([w]))[0])
+    sides = {w: Counter() for w in lexicon}
+    for ws in train:
+        chain = [0, *(int(classes[symbol(w)]) for w in ws), 0]
+        for j, w in enumerate(ws):
+            if w in sides:
+                sides[w].update([chain[j], brown.CLASSES + chain[j + 2]])
+    for w, r in lexicon.items():
+        assert r["n"] == count[w] and r["ending"] == symbol(w) and (r["class"] >= 0) == (count[w] >= brown.LEAST_SEEN)
+        if r["class"] >= 0:
+            value = [sum(n * caught["evidence"][side, c] for side, n in sides[w].items()) for c in range(brown.CLASSES)]
+            assert value[r["class"]] >= max(value) - 1e-6
+    plain = plain_scores(rows, {w: r["class"] for w, r in lexicon.items()}, alphabet, classes, brown.LEAST_SEEN)
+    expected = sorted((str(i), round(x, 5)) for (i, _), x in zip(rows, plain))
+    found = sorted((str(r["doc_id"]), round(r["score"], 5)) for r in got)
+    assert [x for x, _ in found] == [x for x, _ in expected]
+    assert [x for _, x in found] == pytest.approx([x for _, x in expected], abs=1e-4)
 
 
 def test_exchange_never_lowers_the_likelihood():
