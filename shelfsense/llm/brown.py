@@ -305,7 +305,7 @@ def _model(
 ) -> Model:
     """``totals`` counts the symbols without words of a class of their own; ``weight`` and ``kinds`` count those by class."""
     weight = weight + np.bincount(classes, totals, CLASSES)
-    norm = np.log10(weight + _PRIOR * (kinds + np.bincount(classes, minlength=CLASSES)))
+    norm = np.log10(weight + _PRIOR * np.maximum(kinds + np.bincount(classes, minlength=CLASSES), 1))
     emission = np.log10(totals + _PRIOR) - norm[classes]
     return Model(alphabet, classes, emission, np.log10(totals + 1), norm, words, counts, own)
 
