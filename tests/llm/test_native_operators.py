@@ -1,8 +1,10 @@
 """Exact dedup, decontamination and licences: odd rows, both join ways, and brute force."""
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -83,9 +85,6 @@ def test_contamination_without_items_or_documents(spark):
 
 
 def brute_cosine(line, notice):
-    import math
-    from collections import Counter
-
     bags = [Counter(re.findall(licenses._WORD, t.lower())) for _, t in licenses.NOTICES]
     spread = Counter(w for b in bags for w in b)
     idf = lambda w: math.log((len(bags) + 1) / (spread[w] + 0.5)) if w in spread else math.log((len(bags) + 1) / 0.5)
@@ -115,6 +114,81 @@ def test_licences_equal_brute_force(spark):
             assert found["licence"] == licenses.NOTICES[best][0] and found["similarity"] == pytest.approx(scores[best], abs=2e-6)
 
 
+GPL3 = licenses.TEMPLATES[9][1]
+
+
+@pytest.mark.parametrize("text, licence", [
+    ("x = 1\n" + " ".join(licenses.NOTICES[2][1].split()) + "\ny = 2", "MIT"),
+    ("// SPDX-License-Identifier: MIT\nint main;", "MIT"), ("# SPDX-License-Identifier: Apache-2.0\nimport os", "Apache-2.0"),
+    ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"), ("Copyright 2020 Foo. Licensed under the MIT license.", "MIT"),
+    ("some plain words before, then Copyright 2020 Foo, all of it licensed under the MIT license. And more words follow here.", "MIT"),
+    ("GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\nCopyright (C) the foundation and others, all of them", "GPL-3.0"),
+    ("GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991\n", "GPL-2.0"), ("GNU GENERAL PUBLIC LICENSE", None),
+    ("# " + "\n# ".join(GPL3.split("\n")) + "\n\nimport os\n" * 50, "GPL-3.0"),
+    ("Copyright 2001 Them\n\n" + licenses.TEMPLATES[3][1], "BSD-2-Clause"),
+    ("Copyright 2001 Them\n\n" + licenses.TEMPLATES[4][1], "BSD-3-Clause"), ("The MIT License (MIT)\n\n" + licenses.TEMPLATES[1][1], "MIT"),
+    ("mit mit und mit, mit", None), ("word " * 5000 + licenses.TEMPLATES[8][1] + " word" * 5000, "GPL-2.0"),
+])
+def test_headers_files_and_notices_inside_lines(spark, text, licence):
+    got = licenses.file_licences(spark.createDataFrame([("a/b.c", text)], "path string, text string")).collect()
+    assert [r["licence"] for r in got] == [licence]
+
+
+def test_windows_equal_brute_force(spark, monkeypatch):
+    """Every heavy word, every occurrence, in chunks far shorter than the texts."""
+    monkeypatch.setattr(licenses, "CHUNK", 16)
+    rng = random.Random(8)
+    templates = licenses.ALL_TEMPLATES[:12] + licenses.TEMPLATES[12:16] + licenses.TEMPLATES[-3:]
+    noise = ["the", "of", "license", "version", "3", "gnu", "mit", "zebra", "copy"]
+    rows = [(None, "Licensed under the MIT License."), ("none", None), ("empty", ""), ("repeated", "mit " * 400)]
+    for k in range(30):
+        pieces = []
+        for _ in range(rng.randint(1, 3)):
+            words = rng.choice(templates)[1].split()
+            pieces += rng.choices(noise, k=rng.randint(0, 40)) + [w for w in words if rng.random() < 0.95]
+        rows.append((f"f{k}", "\n".join(" ".join(pieces[i : i + 7]) for i in range(0, len(pieces), 7))))
+    files = spark.createDataFrame([(*r, "x", 1) for r in rows], "path string, text string, part string, place int")
+    got = {(r["path"], r["part"], r["place"], r["n_words"]): r["similarity"] for r in licenses.licence_parts(files, "path", "text", templates).collect()}
+    bags = [re.findall(licenses._WORD, t.lower()) for _, t in templates]
+    held = [(p, re.findall(licenses._WORD, (t or "").lower())) for p, t in rows]
+    weights, _ = licenses.notice_words(templates)
+    holders = {w: sum(w in ws for _, ws in held) for ws in bags for w in ws}
+    heavy = licenses.heavy_words(weights, holders, licenses.THRESHOLD)
+    spread = Counter(w for b in bags for w in set(b))
+    idf = lambda w: math.log((len(bags) + 1) / (spread[w] + 0.5))
+    vector = lambda words: {w: n * idf(w) for w, n in Counter(words).items()}
+    length = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    vectors = [(v, length(v)) for v in map(vector, bags)]
+
+    def best(words):
+        v = vector(words)
+        near = [u for u in vectors if len(v.keys() & u[0].keys()) >= min(2, len(u[0]))]  # one word is no notice
+        return max((round(sum(x * u.get(w, 0.0) for w, x in v.items()) / n / length(v), 6) for u, n in near), default=0.0)
+
+    expected, seen = {}, {}
+    for path, words in held:
+        units = [("file", 0, words)]
+        for notice, word in heavy:
+            before, width = bags[notice].index(word), len(bags[notice])
+            for i, w in enumerate(words):
+                if w == word:
+                    first = max(i - before, 0)
+                    units.append(("window", first, words[first : i - before + width]))
+        for part, place, unit in units:
+            if not unit or not {w for _, w in heavy} & set(unit):
+                continue
+            if tuple(unit) not in seen:
+                seen[tuple(unit)] = best(unit)
+            value = seen[tuple(unit)]
+            if value >= licenses.THRESHOLD:
+                expected[path, part, place, len(unit)] = value
+    found = {k: v for k, v in got.items() if k[1] != "line"}
+    sure = {k for k, v in expected.items() if v > licenses.THRESHOLD + 1e-5}
+    assert sure <= set(found) <= set(expected) and len(sure) > 60
+    assert all(found[k] == pytest.approx(expected[k], abs=2e-6) for k in found)
+    assert licenses.licence_parts(files.limit(0), "path", "text").collect() == []
+
+
 def test_inheritance_takes_the_nearest_directory(spark):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
     words = "some plain words that fill a file well beyond the notice in it, so that it stands for itself alone\n"
