@@ -147,9 +147,12 @@ def _windows(files: DataFrame, heavy: list[tuple[int, str]], notices: Sequence[t
     chunks = chunks.where(F.arrays_overlap("near", words))
     spots = chunks.select(
         "path", "start", "before", "near",
-        F.filter(
-            F.transform("near", lambda w, i: F.struct(i.alias("at"), F.array_position(words, w).cast("int").alias("word"))),
-            lambda x: (x["word"] > 0) & (x["at"] >= F.col("before")) & (x["at"] < F.col("before") + CHUNK),
+        F.transform(
+            F.filter(
+                F.transform("near", lambda w, i: F.struct(i.alias("at"), w.alias("word"))),
+                lambda x: x["word"].isin(sorted(frames)) & (x["at"] >= F.col("before")) & (x["at"] < F.col("before") + CHUNK),
+            ),
+            lambda x: F.struct(x["at"].alias("at"), F.array_position(words, x["word"]).cast("int").alias("word")),
         ).alias("spots"),
     )
     shapes = _constant([[{"b": b, "n": n} for b, n in sorted(frames[w])] for w in sorted(frames)], "array<array<struct<b int, n int>>>")
