@@ -117,12 +117,12 @@ def _directory(path: Column) -> Column:
 
 
 def _lines(files: DataFrame) -> DataFrame:
-    lines = files.select("path", F.posexplode_outer(F.split("text", "\n")).alias("place", "line"))
-    return lines.select("path", F.lit("line").alias("part"), "place", _words(F.col("line")).alias("words"))
+    lines = files.select("path", "of", F.posexplode_outer(F.split("text", "\n")).alias("place", "line"))
+    return lines.select("path", "of", F.lit("line").alias("part"), "place", _words(F.col("line")).alias("words"))
 
 
 def _whole(files: DataFrame) -> DataFrame:
-    return files.select("path", F.lit("file").alias("part"), F.lit(0).alias("place"), _words(F.col("text")).alias("words"))
+    return files.select("path", "of", F.lit("file").alias("part"), F.lit(0).alias("place"), _words(F.col("text")).alias("words"))
 
 
 def _windows(files: DataFrame, heavy: list[tuple[int, str]], notices: Sequence[tuple[str, str]]) -> DataFrame:
@@ -136,17 +136,17 @@ def _windows(files: DataFrame, heavy: list[tuple[int, str]], notices: Sequence[t
         frames.setdefault(word, set()).add((texts[notice].index(word), len(texts[notice])))
     margin = max(len(t) for t in texts)
     start = F.sequence(F.lit(0), F.size("words") - 1, F.lit(CHUNK))
-    chunks = files.select("path", _words(F.col("text")).alias("words")).where(F.size("words") > 0).select(
-        "path", F.explode(F.transform(start, lambda k: F.struct(
+    chunks = files.select("path", "of", _words(F.col("text")).alias("words")).where("of > 0").select(
+        "path", "of", F.explode(F.transform(start, lambda k: F.struct(
             k.alias("start"),
             F.least(k, F.lit(margin)).alias("before"),
             F.slice("words", F.greatest(k - margin, F.lit(0)) + 1, F.least(k, F.lit(margin)) + CHUNK + margin).alias("near"),
         ))).alias("c"),
-    ).select("path", "c.*")
+    ).select("path", "of", "c.*")
     words = _known_words(frames)
     chunks = chunks.where(F.arrays_overlap("near", words))
     spots = chunks.select(
-        "path", "start", "before", "near",
+        "path", "of", "start", "before", "near",
         F.transform(
             F.filter(
                 F.transform("near", lambda w, i: F.struct(i.alias("at"), w.alias("word"))),
@@ -159,11 +159,11 @@ def _windows(files: DataFrame, heavy: list[tuple[int, str]], notices: Sequence[t
     cuts = F.array_distinct(F.flatten(F.transform("spots", lambda x: F.transform(
         F.element_at(shapes, x["word"]), lambda f: F.struct((x["at"] - f["b"]).alias("first"), (x["at"] - f["b"] + f["n"]).alias("end"))
     ))))
-    cut = spots.select("path", "start", "before", F.explode(F.transform(cuts, lambda c: F.struct(
+    cut = spots.select("path", "of", "start", "before", F.explode(F.transform(cuts, lambda c: F.struct(
         c["first"].alias("first"), F.slice("near", F.greatest(c["first"], F.lit(0)) + 1, c["end"] - F.greatest(c["first"], F.lit(0))).alias("words")
     ))).alias("w"))
     return cut.select(
-        "path", F.lit("window").alias("part"), (F.col("start") - F.col("before") + F.greatest("w.first", F.lit(0))).alias("place"), "w.words"
+        "path", "of", F.lit("window").alias("part"), (F.col("start") - F.col("before") + F.greatest("w.first", F.lit(0))).alias("place"), "w.words"
     ).distinct()
 
 
@@ -176,14 +176,14 @@ def _matches(
     holders = files.select(F.explode_outer(F.array_intersect(_words(F.col("text")), noted)).alias("word")).groupBy("word").count().collect()
     heavy = heavy_words(rows, {r["word"]: r["count"] for r in holders}, threshold)  # a row per word of a template
     any_heavy = _known_words(w for _, w in heavy)
-    likely = stored(files.where(F.arrays_overlap(_words(F.col("text")), any_heavy)), "likely-files")
+    likely = stored(files.where(F.arrays_overlap(_words(F.col("text")), any_heavy)).withColumn("of", F.size(_words(F.col("text")))), "likely-files")
     units = [
         {"line": _lines, "file": _whole, "window": lambda f: _windows(f, heavy, notices)}[part](likely) for part in parts
     ]
     worded = reduce(DataFrame.union, units).where(F.arrays_overlap("words", any_heavy))
-    key = ["path", "part", "place", "n_words"]
+    key = ["path", "of", "part", "place", "n_words"]
     counts = stored(
-        worded.select("path", "part", "place", F.size("words").alias("n_words"), F.explode("words").alias("word"))
+        worded.select("path", "of", "part", "place", F.size("words").alias("n_words"), F.explode("words").alias("word"))
         .groupBy(*key, "word").agg(F.count(F.lit(1)).alias("n")),
         "licence-words",
     )
@@ -196,8 +196,8 @@ def _matches(
     )
     single = [notice for notice, n in Counter(r[0] for r in rows).items() if n == 1]
     enough = (F.col("shared") >= 2) | F.col("notice").isin(single)
-    right = lengths.toDF("p", "q", "l", "m", "length")
-    same = F.col("path").eqNullSafe(F.col("p")) & (F.col("part") == F.col("q")) & (F.col("place") == F.col("l")) & (F.col("n_words") == F.col("m"))
+    right = lengths.toDF("p", "o", "q", "l", "m", "length")
+    same = F.col("path").eqNullSafe(F.col("p")) & (F.col("of") == F.col("o")) & (F.col("part") == F.col("q")) & (F.col("place") == F.col("l")) & (F.col("n_words") == F.col("m"))
     scored = products.join(right, same).withColumn("similarity", F.round(F.col("dot") / F.col("length"), 6))
     best = F.max_by(F.struct("licence", "similarity"), F.struct("similarity", -F.col("notice"))).alias("best")
     return scored.where((F.col("similarity") >= threshold) & enough).groupBy(*key).agg(best).select(*key, "best.licence", "best.similarity")
@@ -212,9 +212,10 @@ def licence_lines(files: DataFrame, path_col: str, text_col: str, notices: Seque
 def licence_parts(
     files: DataFrame, path_col: str, text_col: str, templates: Sequence[tuple[str, str]] = ALL_TEMPLATES, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """``path, part, place, n_words, licence, similarity``: the best template of every line, window and file at the threshold.
+    """``path, of, part, place, n_words, licence, similarity``: the best template of every line, window and file at the threshold.
 
-    ``part`` is line, window or file; ``place`` is the line's number, the window's first word, or 0.
+    ``part`` is line, window or file; ``place`` is the line's number, the window's first word, or 0; ``of``
+    counts the words of the file, ``n_words`` those of the part.
     """
     return _matches(files, path_col, text_col, templates, threshold, ["line", "window", "file"])
 
@@ -238,17 +239,15 @@ def file_licences(
             F.min_by(
                 F.struct("licence", "similarity"), F.struct(-F.col("similarity"), -F.col("n_words"), "place", "licence")
             ).alias("best"),
-            F.max("n_words").alias("notice_words"),
+            F.max(F.col("n_words") / F.col("of")).alias("share"),
         ),
         "own-licences",
     )
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    sized = files.select(F.col(path_col).alias("path"), F.regexp_count(lower_ascii(text), F.lit(_WORD)).alias("n_words"))
-    names = own.select(F.col("path").alias("own_path"), "best", "notice_words")
+    names = own.select(F.col("path").alias("own_path"), "best", "share")
     same = F.col("path").eqNullSafe(F.col("own_path"))
-    rows = stored(sized.join(names, same, "left").withColumn("dir", _directory(F.col("path"))), "licensed-files")
+    rows = stored(files.select(F.col(path_col).alias("path")).join(names, same, "left").withColumn("dir", _directory(F.col("path"))), "licensed-files")
 
-    stands = F.col("path").rlike(licence_file) | (F.col("notice_words") >= dominant * F.col("n_words"))
+    stands = F.col("path").rlike(licence_file) | (F.col("share") >= dominant)
     owned = rows.where(F.col("best").isNotNull() & F.col("path").isNotNull() & stands)
     by_dir = owned.groupBy("dir").agg(F.min_by("best", F.struct(-F.col("best.similarity"), "path")).alias("dir_best"))
     # directories with the licence of the nearest one above: a path has as many ancestors as it has slashes
