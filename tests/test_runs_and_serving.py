@@ -1,6 +1,7 @@
 """Searches that go on after a stop, blocks that follow the data, and lists from saved models."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +78,19 @@ def test_blocks_follow_the_ratings():
     assert [blocks_for(n) for n in (0, 1, 59_000, 600_000, 10**9)] == [1, 1, 3, 11, 447]
 
 
+def test_blocks_and_disk_of_a_fit_are_bounded(spark, triples, monkeypatch):
+    asked, real = [], factors.ALS
+    monkeypatch.setattr(factors, "ALS", lambda **kw: asked.append(kw) or real(**kw))
+    monkeypatch.setattr(factors, "blocks_for", lambda n: 40)
+    model = factors.fit(triples, AlsSettings(rank=2, max_iter=1))
+    assert asked[0]["numUserBlocks"] == asked[0]["numItemBlocks"] == 12
+    # the factors are files, so no shuffle of the fit is kept for them
+    assert model.userFactors.inputFiles() and model.itemFactors.inputFiles()
+    assert factors.predict(model, triples).count() == triples.count()
+    factors.discard(model)
+    assert not Path(model.factors_at.removeprefix("file:")).exists()
+
+
 def test_same_model_under_any_parallelism(spark, triples):
     settings = AlsSettings(rank=3, max_iter=4, blocks=3)
     before = spark.conf.get("spark.sql.shuffle.partitions")
