@@ -3,7 +3,7 @@
 Rows are never paired with all others. Rows alike in every attribute become one profile with a count, and two profiles
 meet only on a shared value that is among the rarest of both: profiles that agree on ``t`` of their ``c`` values agree
 on one of the ``c - t + 1`` rarest (in any fixed order of values), so no neighbour is missed and the commonest
-values, which would bring most rows together, join nothing.
+values, which would bring most rows together, join nothing. A profile with ``k`` rows like it in all values meets no others.
 """
 
 from __future__ import annotations
@@ -68,9 +68,20 @@ def neighbour_votes(
         .select(F.explode(_tokens(F.col("_same"))).alias("token"), "n").groupBy("token").agg(F.sum("n").alias("n")),
         "frequency",
     )
+    apart = sum((_step_between(i) for i in range(len(steps))), F.lit(0).cast("long"))
+    voters = known.withColumnsRenamed({"_same": "_met", "_steps": "_met_steps"})
+    # Rows alike in all values are nearer than FAR or tie with others; with k of them below FAR, no other row votes.
+    whole = asking.where(~F.exists("_same", lambda value: value.isNull())).withColumnRenamed("_same", "_asked")
+    near = stored(
+        whole.join(voters, whole["_asked"] == voters["_met"]).withColumn("distance", apart).where(F.col("distance") < FAR)
+        .groupBy("_asked", "_steps", "distance", "value").agg(F.sum("n").alias("n")),
+        "near",
+    )
+    settled = near.groupBy("_asked", "_steps").agg(F.sum("n").alias("n")).where(F.col("n") >= k).select("_asked", "_steps")
+    asked = stored(asking.withColumnRenamed("_same", "_asked").join(settled, ["_asked", "_steps"], "left_anti"), "asked")
     # Profiles meet by their values alone; steps and counts come in when it is known which values met.
     right = _rarest(known.select("_same").distinct(), frequency, least_shared, ["_same"])
-    left = _rarest(asking.select("_same").distinct(), frequency, least_shared, ["_same"])
+    left = _rarest(asked.select(F.col("_asked").alias("_same")).distinct(), frequency, least_shared, ["_same"])
     met = left.withColumnsRenamed({"_same": "_asked", "rarest": "_asked_rarest"}).join(
         right.withColumnsRenamed({"_same": "_met", "rarest": "_met_rarest"}), "token"
     )
@@ -80,14 +91,12 @@ def neighbour_votes(
         F.size(F.filter(F.zip_with("_asked", "_met", lambda a, b: a == b), lambda x: x)).alias("shared"),
     ).where(F.col("shared") >= least_shared)
     pairs = stored(pairs, "pairs")
-    asked = asking.withColumnRenamed("_same", "_asked")
-    voters = known.withColumnsRenamed({"_same": "_met", "_steps": "_met_steps"})
-    apart = sum((_step_between(i) for i in range(len(steps))), F.lit(0).cast("long"))
     votes = (
         pairs.join(asked, "_asked").join(voters, "_met")
         .withColumn("distance", apart + FAR * (len(same) - F.col("shared")))
         .groupBy("_asked", "_steps", "distance", "value").agg(F.sum("n").alias("n"))
     )
+    votes = votes.unionByName(near.join(settled, ["_asked", "_steps"], "left_semi"))
     return _winners(votes, k).withColumnRenamed("_asked", "_same")
 
 

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from shelfsense.operators import neighbours
 from shelfsense.operators.neighbours import FAR, impute_by_neighbours
 
 SCHEMA = "id int, style string, a string, b string, c int, price double"
@@ -70,3 +71,16 @@ def test_copies_are_one_profile(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     filled = impute_by_neighbours(df, "style", ["a", "b", "c"], {"price": 5.0})
     assert filled.where("id >= 1000 and style = 'red'").count() == 4_000
+
+
+def test_profiles_with_enough_rows_like_them_meet_no_others(spark, monkeypatch):
+    held, real = {}, neighbours.stored
+    monkeypatch.setattr(neighbours, "stored", lambda df, name: held.setdefault(name, real(df, name)))
+    # six known rows per combination of values, and one to fill; the last combination has two known rows only
+    combos = [(a, b, c) for a in "xyz" for b in "pq" for c in (1, 2)]
+    rows = [(a, b, c, s, 20.0 * (s % 3)) for a, b, c in combos for s in range(6)]
+    known = [(i, ("red", "white")[s % 2], a, b, c, price) for i, (a, b, c, s, price) in enumerate(rows) if (a, b, c) != combos[-1] or s < 2]
+    table = known + [(1000 + i, None, a, b, c, 20.0) for i, (a, b, c) in enumerate(combos)]
+    got = {r.id: r.style for r in impute_by_neighbours(spark.createDataFrame(table, SCHEMA), "style", ["a", "b", "c"], {"price": 20.0}).collect()}
+    assert got == plain(table, 5, 2, 20.0)
+    assert {tuple(r[0]) for r in held["pairs"].select("_asked").distinct().collect()} == {("z", "q", "2")}
