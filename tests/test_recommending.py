@@ -146,3 +146,22 @@ def test_parameter_curves(spark, trained):
     ranks = factors.rank_search(trained.triples, ranks=(2, 3), settings=AlsSettings(max_iter=2, blocks=4)).collect()
     assert sum(r.test_rmse is not None for r in ranks) == 1
     assert min(ranks, key=lambda r: r.validation_rmse).test_rmse is not None
+
+
+def test_tasks_of_curation_grow_with_the_rows(spark):
+    rows = spark.range(600).select(
+        (F.col("id") % 40).alias("user_id"), F.col("id").alias("item_id"), F.concat(F.lit("c"), F.col("id") % 5).alias("category"),
+        F.lit("PROMO").alias("klass"), (F.col("id") * 37 % 101).cast("double").alias("prediction"),
+    )
+    plain, dealt = ranking.curate(rows, CLASSES, user="user_id"), ranking.curate(rows, CLASSES, user="user_id", n_rows=9_900_000)
+    assert dealt.rdd.getNumPartitions() == 40
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, dealt.collect()))
+
+
+def test_items_go_to_few_groups_of_users(spark, monkeypatch):
+    wanted, real = [], candidates.small_side
+    monkeypatch.setattr(candidates, "small_side", lambda df: wanted.append(df.count()) or real(df))
+    users = spark.range(400_000).select(F.col("id").alias("user_id"), F.array(F.lit(1.0)).alias("features"))
+    items = spark.range(5).select(F.col("id").alias("item_id"), F.array(F.lit(9.0)).alias("features"), F.lit("c").alias("category"), F.lit("PROMO").alias("klass"))
+    candidates.best_candidates(users, items, spark.createDataFrame([], "user_id long, item_id long"), 8.0, CLASSES)
+    assert wanted[0] <= 13  # 49 with groups of 8,192
