@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from shelfsense.llm.common import lower_ascii
 from shelfsense.llm.licence_templates import TEMPLATES
 from shelfsense.operators.spread import spread_join
-from shelfsense.sources.session import stored
+from shelfsense.sources.session import release_shuffles, stored
 
 THRESHOLD = 0.7
 CHUNK = 1024
@@ -233,6 +233,7 @@ def file_licences(
     and empty texts have no own licence; a null path inherits nothing; rows that repeat a path share the best
     licence found under it; other columns are not read; an empty table gives an empty result.
     """
+    release_shuffles(files.sparkSession)
     found = licence_parts(files, path_col, text_col, notices, threshold)
     own = stored(
         found.groupBy("path").agg(
