@@ -165,3 +165,36 @@ def test_items_go_to_few_groups_of_users(spark, monkeypatch):
     items = spark.range(5).select(F.col("id").alias("item_id"), F.array(F.lit(9.0)).alias("features"), F.lit("c").alias("category"), F.lit("PROMO").alias("klass"))
     candidates.best_candidates(users, items, spark.createDataFrame([], "user_id long, item_id long"), 8.0, CLASSES)
     assert wanted[0] <= 13  # 49 with groups of 8,192
+
+
+def test_labels_that_are_null_and_ids_below_zero(spark):
+    rng = np.random.default_rng(2)
+    users = {u: rng.random(2) for u in range(-3, 9)}
+    labels = [None, "a", "b", "c"]
+    items = {i: (rng.random(2), labels[rng.integers(4)], ["Red", None][rng.integers(2)]) for i in range(-40, 200)}
+    best = candidates.best_candidates(
+        spark.createDataFrame([(u, v.tolist()) for u, v in users.items()], "user_id long, features array<double>"),
+        spark.createDataFrame([(i, v.tolist(), c, k) for i, (v, c, k) in items.items()],
+                              "item_id long, features array<double>, category string, klass string"),
+        spark.createDataFrame([(1, -40), (1, None), (None, 3)], "user_id long, item_id long"), 0.7, CLASSES, block_items=50,
+    ).persist()
+    assert best.count() == best.select("user_id", "item_id").distinct().count()
+    for user, vector in users.items():
+        scored = [(i, float(vector @ v), c) for i, (v, c, _) in items.items() if vector @ v >= 0.7 and (user, i) != (1, -40)]
+        held = Counter(c for _, _, c in scored)
+        top = sorted(held, key=lambda c: (-held[c], c is not None, c or ""))[:3]
+        got = {r.category: r.n for r in best.where(F.col("user_id") == user).groupBy("category").agg(F.sum("n").alias("n")).collect()}
+        assert {c: n for c, n in got.items() if n} == {c: held[c] for c in top}
+        rows = {r.item_id: r for r in best.where(F.col("user_id") == user).collect()}
+        assert all((r.category, r.klass) == items[i][1:] for i, r in rows.items())
+
+
+def test_only_what_curation_can_use_leaves_the_scorer(spark):
+    users = spark.range(50).select(F.col("id").alias("user_id"), F.array(F.lit(1.0) + F.col("id") / 100).alias("features"))
+    items = spark.range(3_000).select(
+        F.col("id").alias("item_id"), F.array(8.0 + F.col("id") % 7).alias("features"),
+        F.concat(F.lit("c"), (F.col("id") % 40).cast("string")).alias("category"), F.lit("Red").alias("klass"),
+    )
+    none = spark.createDataFrame([], "user_id long, item_id long")
+    best = candidates.best_candidates(users, items, none, 8.0, CLASSES, block_items=500)
+    assert best.count() == 50 * 9  # 40 categories in 6 blocks
